@@ -11,11 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratiq.llm import tokenfiles, toxicity
 from stratiq.llm.chat import rotate_perspectives
-from stratiq.llm.common import table
+from stratiq.llm.common import scratch_path, table
 from stratiq.llm.packing import pack_documents
 from stratiq.llm.secrets import RULES, count_kind, scan_versions, span_text
 from stratiq.llm.sharding import shard_rows
+from stratiq.llm.topk import top_k
 
 N_SHARDS = 40
 
@@ -32,10 +34,34 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return findings.select("doc_id", *counts, F.sha2(joined.cast("binary"), 256).alias("base_sha256"), joined.alias("spans"))
 
 
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "tokens")
+    tokenfiles.write_tokens(table(spark, sf_dir, "documents"), out, tokenizer_path())
+    return tokenfiles.read_tokens(spark, out)
+
+
 def op8_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = rotate_perspectives(table(spark, sf_dir, "conversations"))
     mask = F.array_join(F.transform("mask", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string"))), ",")
@@ -45,6 +71,9 @@ def op8_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_secret_scan": op2_secret_scan,
+    "op3_exact_top_k": op3_exact_top_k,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_toxicity": op5_toxicity,
+    "op7_token_files": op7_token_files,
     "op8_chat_rotation": op8_chat_rotation,
 }
