@@ -11,9 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiq.llm import tokenfiles, toxicity
+from stratiq.llm import tokencounts, tokenfiles, toxicity
 from stratiq.llm.chat import rotate_perspectives
 from stratiq.llm.common import scratch_path, table
+from stratiq.llm.decontam import contaminated
 from stratiq.llm.packing import pack_documents
 from stratiq.llm.secrets import RULES, count_kind, scan_versions, span_text
 from stratiq.llm.sharding import shard_rows
@@ -50,10 +51,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +69,18 @@ def op8_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("conv_id", "speaker", "part", "n_turns", F.length("rendered").cast("long").alias("n_chars"), F.sha2(F.col("rendered").cast("binary"), 256).alias("rendered_sha256"), mask.alias("mask"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = tokenizer_path("byte_bpe_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = tokencounts.count_tokens(docs, ranks).withColumn("n_tokens_before", F.col("n_tokens"))
+    after = tokencounts.recount(counted.withColumn("edits", tokencounts.sample_edits(F.col("text"), F.col("doc_id"))), ranks)
+    return after.select("doc_id", "n_tokens_before", F.col("n_tokens").alias("n_tokens_after"), F.length("text").cast("long").alias("n_chars_after"), "n_reread", "n_edits")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_secret_scan": op2_secret_scan,
@@ -76,4 +89,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op7_token_files": op7_token_files,
     "op8_chat_rotation": op8_chat_rotation,
+    "op9_token_counts": op9_token_counts,
+    "op10_decontamination": op10_decontamination,
 }
