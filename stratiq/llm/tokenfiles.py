@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -23,7 +24,6 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,10 +31,12 @@ from pyspark.sql import functions as F
 NULL_ID = -(2**63)
 CACHE = 500_000
 MANIFEST = "part long, n_docs long, n_tokens long, doc_base long, token_base long"
-#: Fixed value: the byte-level pre-tokeniser's pattern.
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Characters whose class might differ between regular-expression engines, and marks of special tokens.
+#: Characters beyond the ranges below, and marks of special tokens.
 _UNUSUAL = re.compile("[\x00-\x08\x0b-\x1f\x7f-\xa0ɐ-\U0010ffff]|<\\|")
+#: The byte-level pre-tokeniser's pattern for texts without such characters:
+#: letters and numbers up to U+024F, tab, line feed and space written out.
+_LETTER, _NUMBER, _BLANK = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", r"\t\n "
+PIECES = re.compile(f" ?[{_LETTER}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{_NUMBER}]+| ?[^{_BLANK}{_LETTER}{_NUMBER}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+")
 
 
 class PieceEncoder(dict):
@@ -50,15 +52,18 @@ class PieceEncoder(dict):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._dtype = np.dtype("<u4" if wide else "<u2")
+        self._code = "I" if wide else "H"
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
         self._by_piece = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space", True) and pre.get("use_regex", True) and spec["model"]["type"] == "BPE" and not spec["model"].get("ignore_merges")
-        self._split = regex.compile(PIECES).findall
+        self._split = PIECES.findall
 
     def _encode(self, text: str) -> bytes:
-        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, self._dtype).tobytes()
+        ids = array(self._code, self._tokenizer.encode(text, add_special_tokens=False).ids)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def __missing__(self, piece: str) -> bytes:
         ids = self._encode(piece)
