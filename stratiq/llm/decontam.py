@@ -158,6 +158,13 @@ class BenchmarkIndex:
 _INDEXES: dict[int, BenchmarkIndex] = {}
 
 
+def _index(key: int, section: list[tuple[int, str]], shingle: int, least: float, radius: int) -> BenchmarkIndex:
+    if key not in _INDEXES:
+        _INDEXES.clear()
+        _INDEXES[key] = BenchmarkIndex(section, shingle, least, radius)
+    return _INDEXES[key]
+
+
 def _sections(benchmark: DataFrame, id_col: str, text_col: str) -> list[list[tuple[int, str]]]:
     """The benchmark's items in sections of at most SECTION_BYTES of text (or one item)."""
     sections: list[list[tuple[int, str]]] = [[]]
@@ -187,10 +194,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
         key = hash((shingle, least, radius, *section))
 
         def run(batches: Iterator[pa.RecordBatch], section=section, key=key) -> Iterator[pa.RecordBatch]:
-            index = _INDEXES.get(key)
-            if index is None:
-                _INDEXES.clear()
-                index = _INDEXES[key] = BenchmarkIndex(section, shingle, least, radius)
+            index = _index(key, section, shingle, least, radius)
             for batch in batches:
                 hits = list(index.matches(batch.column(1).cast(pa.binary()).fill_null(b"").to_pylist()))
                 if hits:
@@ -201,3 +205,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
         part = narrow.mapInArrow(run, schema)
         found = part if found is None else found.unionByName(part)
     return found.withColumnRenamed(name, id_col)
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", shingle: int = SHINGLE, least: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` in which :func:`contaminated` finds no item, all columns
+    as they are; nothing is shuffled."""
+    at = docs.columns.index(text_col)
+    clean = docs
+    for section in _sections(benchmark, item_col, item_text_col):
+        key = hash((shingle, least, radius, *section))
+
+        def run(batches: Iterator[pa.RecordBatch], section=section, key=key) -> Iterator[pa.RecordBatch]:
+            index = _index(key, section, shingle, least, radius)
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                for hit in index.matches(batch.column(at).cast(pa.binary()).fill_null(b"").to_pylist()):
+                    keep[hit[0]] = False
+                yield batch.filter(pa.array(keep))
+
+        clean = clean.mapInArrow(run, docs.schema)
+    return clean

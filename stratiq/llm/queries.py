@@ -15,6 +15,7 @@ from stratiq.llm import tokencounts, tokenfiles, toxicity
 from stratiq.llm.chat import rotate_perspectives
 from stratiq.llm.common import scratch_path, table
 from stratiq.llm.decontam import contaminated
+from stratiq.llm.ngramjoin import link_documents
 from stratiq.llm.packing import pack_documents
 from stratiq.llm.secrets import RULES, count_kind, scan_versions, span_text
 from stratiq.llm.sharding import shard_rows
@@ -51,6 +52,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_top_k": op3_exact_top_k,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_toxicity": op5_toxicity,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_token_files": op7_token_files,
     "op8_chat_rotation": op8_chat_rotation,
     "op9_token_counts": op9_token_counts,

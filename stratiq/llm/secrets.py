@@ -135,3 +135,18 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 
     rest = F.aggregate(spans, begin, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
     return F.when(F.size(spans) > 0, rest).otherwise(text)
+
+
+def redact_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` with every secret in its texts replaced by ``mark`` and
+    ``length_col`` (if there is such a column) brought up to date.  No row is
+    dropped; texts without secrets, and nulls, stay as they are."""
+    findings, _ = scan_versions(docs, path_cols=(id_col,), text_col=text_col)
+    hits = findings.where(F.size("spans") > 0).groupBy("blob").agg(F.first("spans").alias("__spans"))
+    blob = F.sha2(F.coalesce(text_col, F.lit("")).cast("binary"), 256)
+    found = docs.withColumn("__blob", blob).join(hits.withColumnRenamed("blob", "__blob"), "__blob", "left")
+    clean = F.when(F.col("__spans").isNotNull(), redact(F.col(text_col), F.col("__spans"), mark)).otherwise(F.col(text_col))
+    changed = {text_col: clean}
+    if length_col in docs.columns:
+        changed[length_col] = F.when(F.col("__spans").isNotNull(), F.length(clean).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col))
+    return found.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
