@@ -22,6 +22,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +38,7 @@ HOT_KEYS = 1 << 20
 FIRST_LEVEL = 3  # n-grams in fewer than 2**FIRST_LEVEL documents are all alike
 WIDE_LEVEL = 10  # prefix groups of n-grams from this level on may be large
 RANGE_KEYS = 1 << 21
-CHUNK_KEYS = 1 << 22
+CHUNK_KEYS = 3 << 20
 FILTER_BITS = 22
 ELEMENT_BYTES = 5
 _TABLE = separators()
@@ -137,22 +138,30 @@ class PrefixTree:
                 yield self.order[i], have
 
 
-_ORDERS: dict[int, Order] = {}
+_ORDERS: dict[str, Order] = {}
 
 
-def _order(broadcast) -> Order:
-    key = broadcast.id if hasattr(broadcast, "id") else id(broadcast)
-    if key not in _ORDERS:
+def _order(ordering) -> Order:
+    """The order of one run, by the run's own token: workers outlive runs."""
+    token, broadcast = ordering
+    if token not in _ORDERS:
         _ORDERS.clear()
         keys, levels = broadcast.value
-        _ORDERS[key] = Order(np.frombuffer(keys, "<u4"), np.frombuffer(levels, np.uint8))
-    return _ORDERS[key]
+        _ORDERS[token] = Order(np.frombuffer(keys, "<u4"), np.frombuffer(levels, np.uint8))
+    return _ORDERS[token]
 
 
 def _binary(column: pa.Array) -> list[bytes]:
     return column.cast(pa.binary()).fill_null(b"").to_pylist()
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows: what is worked out of them is several times their size."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def frequent(narrow: DataFrame, size: int, hot_keys: int = HOT_KEYS) -> tuple[np.ndarray, np.ndarray]:
     """Short keys and frequency classes of the most frequent n-grams: all from
     the lowest class on that leaves ``hot_keys`` at most."""
@@ -172,7 +181,7 @@ def frequent(narrow: DataFrame, size: int, hot_keys: int = HOT_KEYS) -> tuple[np
                 yield pa.RecordBatch.from_pydict(dict(zip(("range", "keys", "counts"), map(list, zip(*rows, strict=True)), strict=True)), pa.schema([("range", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
             held, n = [], 0
 
-        for batch in batches:
+        for batch in _slices(batches):
             for a in ngram_sets(_binary(batch.column(1)), size):
                 held.append((a >> np.uint64(32)).astype(np.uint32))
                 n += len(a)
@@ -222,11 +231,11 @@ def link_documents(docs: DataFrame, *, size: int = 3, numerator: int = 90, denom
     num, den = numerator, denominator
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
     keys, levels = frequent(narrow, size, hot_keys)
-    ordering = spark.sparkContext.broadcast((keys.astype("<u4").tobytes(), levels.tobytes()))
+    ordering = (uuid.uuid4().hex, spark.sparkContext.broadcast((keys.astype("<u4").tobytes(), levels.tobytes())))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = _order(ordering)
-        for batch in batches:
+        for batch in _slices(batches):
             sets = ngram_sets(_binary(batch.column(1)), size)
             level = order.of(np.concatenate(sets)) if sets and len(order.keys) else np.zeros(sum(map(len, sets)), np.uint8)
             parts, narrow_counts, at = [], [], 0
@@ -322,7 +331,7 @@ def _candidate_sets(narrow: DataFrame, shared: DataFrame, ordering, size: int) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = _order(ordering)
         bits = np.frombuffer(held.value, "<u4")
-        for batch in batches:
+        for batch in _slices(batches):
             at = batch.column(2).to_numpy()
             batch = batch.filter(pa.array((bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1))
             if batch.num_rows:
