@@ -33,7 +33,7 @@ THRESHOLD = 0.3
 HEAD = bytes(range(1, 9)) + bytes(range(14, 22))
 TAIL = b" " + bytes(range(22, 31))
 SPREAD = 10  # differences are clipped to +-SPREAD
-CACHE = 600_000
+CACHE = 250_000
 
 
 def words_of(text: str | None) -> list[bytes]:
