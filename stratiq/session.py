@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,3 +52,23 @@ def settled(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application, for functions
+    that run in Python there."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="stratiq-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    name = f"{folder}/{root.name}-{uuid.uuid4().hex[:8]}.zip"
+    with zipfile.ZipFile(name, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    spark.sparkContext.addPyFile(name)
