@@ -145,8 +145,8 @@ def redact_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     hits = findings.where(F.size("spans") > 0).groupBy("blob").agg(F.first("spans").alias("__spans"))
     blob = F.sha2(F.coalesce(text_col, F.lit("")).cast("binary"), 256)
     found = docs.withColumn("__blob", blob).join(hits.withColumnRenamed("blob", "__blob"), "__blob", "left")
-    clean = F.when(F.col("__spans").isNotNull(), redact(F.col(text_col), F.col("__spans"), mark)).otherwise(F.col(text_col))
-    changed = {text_col: clean}
+    changed = found.withColumn("__clean", F.when(F.col("__spans").isNotNull(), redact(F.col(text_col), F.col("__spans"), mark)).otherwise(F.col(text_col)))
+    cols = {text_col: F.col("__clean")}
     if length_col in docs.columns:
-        changed[length_col] = F.when(F.col("__spans").isNotNull(), F.length(clean).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col))
-    return found.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+        cols[length_col] = F.when(F.col("__spans").isNotNull(), F.length("__clean").cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col))
+    return changed.select(*[cols.get(c, F.col(c)).alias(c) for c in docs.columns])
