@@ -2,34 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, which every executor can reach.
-
-    Only where the session names none (tests, local runs) a temporary folder
-    is made and set as the context's checkpoint folder.
-    """
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if found:
-        return found.rstrip("/")
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get().rstrip("/")
-    made = tempfile.mkdtemp(prefix="stratiq-")
-    atexit.register(shutil.rmtree, made, ignore_errors=True)
-    spark.sparkContext.setCheckpointDir(f"file://{made}")
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
+from stratiq.session import shared_dir
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder name under :func:`shared_dir`."""
+    """A new folder name under the folder that all executors share."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 

@@ -187,7 +187,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     shingle is one shingle; ties go to the first window.
     """
     found = None
-    name = "doc_id"
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     schema = SCHEMA.format(id=docs.schema[id_col].dataType.simpleString())
     for section in _sections(benchmark, item_col, item_text_col):
@@ -204,7 +203,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
 
         part = narrow.mapInArrow(run, schema)
         found = part if found is None else found.unionByName(part)
-    return found.withColumnRenamed(name, id_col)
+    return found.withColumnRenamed("doc_id", id_col)
 
 
 def uncontaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", shingle: int = SHINGLE, least: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
