@@ -37,8 +37,8 @@ from stratiq.operators.graph import components
 HOT_KEYS = 1 << 20
 FIRST_LEVEL = 3  # n-grams in fewer than 2**FIRST_LEVEL documents are all alike
 WIDE_LEVEL = 10  # prefix groups of n-grams from this level on may be large
-RANGE_KEYS = 1 << 21
-CHUNK_KEYS = 3 << 20
+RANGE_KEYS = 1 << 20
+CHUNK_KEYS = 1 << 20
 FILTER_BITS = 22
 ELEMENT_BYTES = 5
 _TABLE = separators()

@@ -12,7 +12,7 @@ import numpy as np
 
 BASE = 0xD1342543DE82EF95
 INVERSE = pow(BASE, -1, 1 << 64)
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 #: Fixed value: the white space that separates words.
 SPACE = b"\t\n\x0b\x0c\r "
 _POWERS = {BASE: np.ones(1, np.uint64), INVERSE: np.ones(1, np.uint64)}
