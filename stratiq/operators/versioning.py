@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stratiq.functions import text as t
 from stratiq.operators.relational import mutual_first
+from stratiq.session import settled
 
 
 def check_delta(ledger: DataFrame, ops: DataFrame, reverse: bool = False) -> DataFrame:
@@ -125,7 +126,7 @@ def match_rows(old: DataFrame, new: DataFrame) -> DataFrame:
         met = side(o, "o").join(side(n, "n"), "k")
         order = [F.col("o_id") != F.col("n_id"), F.col("o_section") != F.col("n_section"), F.abs(F.col("o_pos") - F.col("n_pos")), "o_id", "n_id"]
         found = mutual_first(met, "o_id", "n_id", order).select(F.col("o_id").alias("old"), F.col("n_id").alias("new"), F.lit(how).alias("how"))
-        pairs = found if pairs is None else pairs.unionByName(found)
+        pairs = settled(found if pairs is None else pairs.unionByName(found))  # each turn starts from files
 
     def gaps(df: DataFrame, s: str) -> DataFrame:
         known = df.join(pairs.select(F.col(s).alias("id"), F.lit(1).alias("m"), *([F.col("old").alias("anchor")])), "id", "left")
@@ -137,7 +138,7 @@ def match_rows(old: DataFrame, new: DataFrame) -> DataFrame:
 
     a, b = gaps(old, "old").withColumnRenamed("id", "old"), gaps(new, "new").withColumnRenamed("id", "new")
     filled = a.join(b, ["section", "after", "before", "i", "size"]).select("old", "new", F.lit("in place").alias("how"))
-    return pairs.unionByName(filled)
+    return settled(pairs.unionByName(filled))
 
 
 def version_diff(old: DataFrame, new: DataFrame) -> DataFrame:
