@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratiq.llm.common import materialise
+from stratiq.llm.common import materialise, slices
 from stratiq.llm.wordhash import mix, separators, word_hashes
 from stratiq.operators.graph import components
 
@@ -155,13 +155,6 @@ def _binary(column: pa.Array) -> list[bytes]:
     return column.cast(pa.binary()).fill_null(b"").to_pylist()
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """Batches of few rows: what is worked out of them is several times their size."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
-
-
 def frequent(narrow: DataFrame, size: int, hot_keys: int = HOT_KEYS) -> tuple[np.ndarray, np.ndarray]:
     """Short keys and frequency classes of the most frequent n-grams: all from
     the lowest class on that leaves ``hot_keys`` at most."""
@@ -181,7 +174,7 @@ def frequent(narrow: DataFrame, size: int, hot_keys: int = HOT_KEYS) -> tuple[np
                 yield pa.RecordBatch.from_pydict(dict(zip(("range", "keys", "counts"), map(list, zip(*rows, strict=True)), strict=True)), pa.schema([("range", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
             held, n = [], 0
 
-        for batch in _slices(batches):
+        for batch in slices(batches):
             for a in ngram_sets(_binary(batch.column(1)), size):
                 held.append((a >> np.uint64(32)).astype(np.uint32))
                 n += len(a)
@@ -235,7 +228,7 @@ def link_documents(docs: DataFrame, *, size: int = 3, numerator: int = 90, denom
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = _order(ordering)
-        for batch in _slices(batches):
+        for batch in slices(batches):
             sets = ngram_sets(_binary(batch.column(1)), size)
             level = order.of(np.concatenate(sets)) if sets and len(order.keys) else np.zeros(sum(map(len, sets)), np.uint8)
             parts, narrow_counts, at = [], [], 0
@@ -331,7 +324,7 @@ def _candidate_sets(narrow: DataFrame, shared: DataFrame, ordering, size: int) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = _order(ordering)
         bits = np.frombuffer(held.value, "<u4")
-        for batch in _slices(batches):
+        for batch in slices(batches):
             at = batch.column(2).to_numpy()
             batch = batch.filter(pa.array((bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1))
             if batch.num_rows:

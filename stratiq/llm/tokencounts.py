@@ -27,10 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratiq.llm.common import slices
+
 #: Fixed value: the byte-level pre-tokeniser's pattern.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LEAF = 64
-CACHE = 500_000
+CACHE = 250_000
 _SPLIT = regex.compile(PIECES)
 
 
@@ -174,7 +176,7 @@ def count_tokens(docs: DataFrame, ranks_path: str, *, text_col: str = "text") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = counter(ranks_path)
         split = _SPLIT.findall
-        for batch in batches:
+        for batch in slices(batches):
             totals, trees = [], []
             for text in batch.column(batch.schema.names.index(text_col)):
                 pieces = split(text.as_py() or "")
@@ -201,7 +203,7 @@ def recount(counted: DataFrame, ranks_path: str, *, text_col: str = "text", edit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = counter(ranks_path)
-        for batch in batches:
+        for batch in slices(batches):
             names = batch.schema.names
             cols = {n: batch.column(i) for i, n in enumerate(names)}
             texts, totals, trees, reread, made = [], [], [], [], []
