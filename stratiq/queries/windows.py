@@ -24,10 +24,10 @@ def applied_stack(d):
     return r.applied_stack(d.events, "user_id", "event_type", ["ts", "event_id"], "purchase")
 
 
-@query("SELECT CAST(user_id AS VARCHAR) AS delta, sum(CASE WHEN event_type = 'click' THEN 1 ELSE -1 END)::BIGINT AS depth FROM events GROUP BY 1 HAVING sum(CASE WHEN event_type = 'click' THEN 1 ELSE -1 END) > 0")
+@query("SELECT CAST(user_id AS VARCHAR) AS delta, sum(CASE WHEN event_type IN ('click', 'view', 'purchase') THEN 1 ELSE -1 END)::BIGINT AS depth FROM events GROUP BY 1 HAVING sum(CASE WHEN event_type IN ('click', 'view', 'purchase') THEN 1 ELSE -1 END) > 0")
 def applied_depth(d):
     """How often each change set is on the stack."""
-    log = d.events.select(col("event_id").alias("seq"), col("user_id").cast("string").alias("delta"), F.when(col("event_type") == "click", "apply").otherwise("revert").alias("action"))
+    log = d.events.select(col("event_id").alias("seq"), col("user_id").cast("string").alias("delta"), F.when(col("event_type").isin("click", "view", "purchase"), "apply").otherwise("revert").alias("action"))
     return v.applied(log)
 
 
