@@ -28,7 +28,7 @@ from stratiq.llm.wordhash import separators, word_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RADIUS = 7
+RADIUS = 12
 BITS = 64
 SECTION_BYTES = 4_000_000
 PUNCTUATION = b"!\"'(),.:;?[]"
@@ -142,16 +142,16 @@ class BenchmarkIndex:
             near = np.zeros(len(starts), bool)
             for (shift, mask), table in zip(self.blocks, tables, strict=True):
                 near |= table[((prints >> shift) & mask).astype(np.int64)]
-            for i in np.flatnonzero(near):
-                distances = np.bitwise_count(self.prints[members] ^ prints[i])
-                start = int(starts[i])
-                for n in members[distances <= self.radius]:
-                    if n in best and best[n][0] == 1.0:
-                        continue
-                    words = words or words_of(text.decode("utf-8", "surrogatepass"))
-                    s = similarity(shingles(words[start : start + span], self.shingle), self.sets[n])
-                    if s >= self.least and (n not in best or s > best[n][0]):
-                        best[n] = (s, start, span)
+            close = np.flatnonzero(near)
+            distances = np.bitwise_count(prints[close][:, None] ^ self.prints[members][None, :])
+            for i, m in np.argwhere(distances <= self.radius):
+                n, start = int(members[m]), int(starts[close[i]])
+                if n in best and best[n][0] == 1.0:
+                    continue
+                words = words or words_of(text.decode("utf-8", "surrogatepass"))
+                s = similarity(shingles(words[start : start + span], self.shingle), self.sets[n])
+                if s >= self.least and (n not in best or s > best[n][0]):
+                    best[n] = (s, start, span)
         return [(self.items[n][0], *found) for n, found in sorted(best.items())]
 
 
