@@ -16,12 +16,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, few: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage and
-    outlives the executors that computed it."""
+    outlives the executors that computed it.  ``few`` rebalances what is much
+    smaller than its input, so that it does not end in many small files."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df.hint("rebalance") if few else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

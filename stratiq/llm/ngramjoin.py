@@ -195,7 +195,7 @@ def frequent(narrow: DataFrame, size: int, hot_keys: int = HOT_KEYS) -> tuple[np
         return pa.table({"level": pa.array(level, pa.int32()), "n": pa.array(n, pa.int64()), "keys": pa.array(packed, pa.binary())})
 
     sent = narrow.mapInArrow(send, "range int, keys binary, counts binary")
-    counted = materialise(sent.groupBy("range").applyInArrow(merge, "level int, n long, keys binary"), "frequencies")
+    counted = materialise(sent.groupBy("range").applyInArrow(merge, "level int, n long, keys binary"), "frequencies", few=True)
     left, least = hot_keys, None
     for level, n in sorted(counted.groupBy("level").agg(F.sum("n")).collect(), reverse=True):
         if n > left:
@@ -263,7 +263,7 @@ def link_documents(docs: DataFrame, *, size: int = 3, numerator: int = 90, denom
     few = entries.where("pos < n_narrow").select(*columns, least.over(here).alias("c"), F.count(F.lit(1)).over(here).alias("k")).where("k > 1")
     wide = entries.where("pos >= n_narrow")
     many = wide.join(wide.groupBy("key").agg(least.alias("c"), F.count(F.lit(1)).alias("k")).where("k > 1"), "key").select(*columns, "c", "k")
-    shared = materialise(few.unionByName(many).drop("k").select(*columns, F.col("c.rep").alias("c_rep"), F.col("c.n").alias("c_n"), F.col("c.pos").alias("c_pos")), "shared")
+    shared = materialise(few.unionByName(many).drop("k").select(*columns, F.col("c.rep").alias("c_rep"), F.col("c.n").alias("c_n"), F.col("c.pos").alias("c_pos")), "shared", few=True)
 
     def possible(n1: Column, p1: Column, n2: Column, p2: Column) -> Column:
         """Length bound, and position bound as at the first n-gram in common."""
@@ -275,11 +275,11 @@ def link_documents(docs: DataFrame, *, size: int = 3, numerator: int = 90, denom
     col = F.col
     star = shared.where(col("rep") != col("c_rep")).where(possible(col("n"), col("pos"), col("c_n"), col("c_pos")))
     first = _verified(star.select(col("c_rep").alias("a"), col("rep").alias("b")).distinct(), sets, num, den)
-    first = materialise(first, "links")
+    first = materialise(first, "links", few=True)
     groups = components(first)
     one, other = groups.select(col("node").alias("rep"), col("component").alias("g")), groups.select(col("node").alias("c_rep"), col("component").alias("cg"))
     named = shared.join(one, "rep", "left").join(other, "c_rep", "left").withColumn("g", F.coalesce("g", "rep")).withColumn("cg", F.coalesce("cg", "c_rep"))
-    named = materialise(named.select("key", "rep", "n", "pos", "c_rep", "g", (col("g") != col("cg")).alias("apart")), "named")
+    named = materialise(named.select("key", "rep", "n", "pos", "c_rep", "g", (col("g") != col("cg")).alias("apart")), "named", few=True)
     s, o = named.where("apart").alias("s"), named.alias("o")
     meet = (col("s.key") == col("o.key")) & (col("s.g") != col("o.g")) & (col("o.rep") != col("s.c_rep")) & (~col("o.apart") | (col("s.rep") < col("o.rep")))
     rest = s.join(o, meet & possible(col("s.n"), col("s.pos"), col("o.n"), col("o.pos"))).select(col("s.rep").alias("a"), col("o.rep").alias("b"))
