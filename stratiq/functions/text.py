@@ -249,7 +249,7 @@ def version_order(version: Column) -> Column:
 
 def numeric_suffix(ident: Column) -> Column:
     """Number at the end of an id; null without one."""
-    return F.regexp_extract(ident, r"([0-9]+)$", 1).try_cast("long") if hasattr(Column, "try_cast") else F.expr("null")
+    return F.regexp_extract(ident, r"([0-9]+)$", 1).try_cast("long")
 
 
 def iso_date(text: Column) -> Column:
