@@ -270,11 +270,9 @@ def link_documents(docs: DataFrame, *, size: int = 3, numerator: int = 90, denom
         lengths = F.least(n1, n2) * den >= F.greatest(n1, n2) * num
         return lengths & (F.least(n1 - p1, n2 - p2) * (den + num) >= (n1 + n2) * num)
 
-    sets = _candidate_sets(narrow, shared, ordering, size)
-
     col = F.col
     star = shared.where(col("rep") != col("c_rep")).where(possible(col("n"), col("pos"), col("c_n"), col("c_pos")))
-    first = _verified(star.select(col("c_rep").alias("a"), col("rep").alias("b")).distinct(), sets, num, den)
+    first = _verified(star.select(col("c_rep").alias("a"), col("rep").alias("b")).distinct(), narrow, ordering, size, num, den)
     first = materialise(first, "links", few=True)
     groups = components(first)
     one, other = groups.select(col("node").alias("rep"), col("component").alias("g")), groups.select(col("node").alias("c_rep"), col("component").alias("cg"))
@@ -283,10 +281,11 @@ def link_documents(docs: DataFrame, *, size: int = 3, numerator: int = 90, denom
     s, o = named.where("apart").alias("s"), named.alias("o")
     meet = (col("s.key") == col("o.key")) & (col("s.g") != col("o.g")) & (col("o.rep") != col("s.c_rep")) & (~col("o.apart") | (col("s.rep") < col("o.rep")))
     rest = s.join(o, meet & possible(col("s.n"), col("s.pos"), col("o.n"), col("o.pos"))).select(col("s.rep").alias("a"), col("o.rep").alias("b"))
-    links = first.unionByName(_verified(rest.distinct(), sets, num, den))
+    links = first.unionByName(_verified(rest.distinct(), narrow, ordering, size, num, den))
     groups = components(links)
 
-    class_groups = classes.select("sig", "rep").join(groups, col("rep") == col("node"), "left").select("sig", "rep", F.coalesce("component", "rep").alias("component"))
+    reps = usable.groupBy("sig").agg(F.min("doc_id").alias("rep"))
+    class_groups = reps.join(groups, col("rep") == col("node"), "left").select("sig", "rep", F.coalesce("component", "rep").alias("component"))
     out = made.select("doc_id", "n", "sig").join(class_groups, "sig", "left")
     empty = col("n") == 0
     return out.select(
@@ -310,11 +309,11 @@ def one_per_group(docs: DataFrame, *, size: int = 5, numerator: int = 80, denomi
     return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(kept.where(F.col(id_col).isNull()))
 
 
-def _candidate_sets(narrow: DataFrame, shared: DataFrame, ordering, size: int) -> DataFrame:
-    """Globally ordered sets (``rep``, ``n``, ``elements``) of all documents that
-    may be candidates.  A bitmap of fixed size, of hashes of their ids, tells
+def _candidate_sets(narrow: DataFrame, asked: DataFrame, ordering, size: int) -> DataFrame:
+    """Globally ordered sets (``rep``, ``n``, ``elements``) of the documents that are
+    asked for (``rep``).  A bitmap of fixed size, of hashes of their ids, tells
     which texts to read; what it lets through in excess is never asked for."""
-    spots = shared.select(F.pmod(F.xxhash64("rep"), F.lit(1 << FILTER_BITS)).alias("spot"))
+    spots = asked.select(F.pmod(F.xxhash64("rep"), F.lit(1 << FILTER_BITS)).alias("spot"))
     words = spots.groupBy(F.expr("spot div 32").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(spot, 32) as int))")))
     bitmap = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
     for w, b in words.collect():  # at most 2**(FILTER_BITS - 5) words
@@ -340,9 +339,12 @@ def _candidate_sets(narrow: DataFrame, shared: DataFrame, ordering, size: int) -
     return materialise(rows.mapInArrow(run, "rep long, n long, sig binary, elements binary"), "sets")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _verified(pairs: DataFrame, narrow: DataFrame, ordering, size: int, num: int, den: int) -> DataFrame:
     """The pairs ``a``, ``b`` that link, as ``u``, ``v``.  Each ``a`` gets its own
     set and its candidates' sets in one run of rows, its own first."""
+    pairs = materialise(pairs, "pairs", few=True)
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
+    sets = _candidate_sets(narrow, ends, ordering, size)
     asked = pairs.unionByName(pairs.select("a", F.col("a").alias("b")).distinct())
     sent = asked.join(sets.select(F.col("rep").alias("b"), "n", "elements"), "b")
     runs = sent.repartition("a").sortWithinPartitions("a", F.col("a") != F.col("b"), "b")
