@@ -3,9 +3,11 @@
 Two zstandard dictionaries are trained, one on toxic and one on ordinary text.
 A text is read in windows (its words; words over ``WINDOW`` bytes in
 overlapping pieces), each window is compressed with both dictionaries, and the
-difference of the two compressed lengths is its evidence.  What each difference
-is worth (a log-likelihood ratio) and which sum makes a document toxic are
-calibrated on the training rows.
+difference of the two compressed lengths is its evidence.  Every window counts:
+a text's score is a logistic regression on the shares of its windows with each
+difference.  It is fitted on training rows whose dictionaries were made from
+the other fold, which also choose how much evidence a string needs to enter
+the toxic dictionary.
 
 Training reads a bounded sample of labelled rows (``max_toxic``,
 ``max_ordinary`` and ``max_bytes``, chosen by hash of the id); scoring reads
@@ -34,6 +36,9 @@ HEAD = bytes(range(1, 9)) + bytes(range(14, 22))
 TAIL = b" " + bytes(range(22, 31))
 SPREAD = 10  # differences are clipped to +-SPREAD
 CACHE = 250_000
+LENGTHS = (5, 6, 7, 8)  # bytes of a toxic string
+FLOORS = (16.0, 32.0, 64.0)  # evidence a toxic string needs, chosen between on the training rows
+FOLDS = 2
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -77,20 +82,17 @@ class Differences(dict):
 class Model:
     toxic: bytes
     ordinary: bytes
-    worth: tuple[float, ...]  # of each clipped difference
-    slope: float
+    weights: tuple[float, ...]  # of the share of each clipped difference
     offset: float
 
     def score(self, differences: np.ndarray) -> float:
-        z = self.slope * evidence(differences, np.array(self.worth)) + self.offset
+        z = float(shares(differences) @ np.array(self.weights)) + self.offset
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def evidence(differences: np.ndarray, worth: np.ndarray) -> float:
-    """Worth of the three windows that speak most for toxicity."""
-    counts = np.bincount(differences, minlength=2 * SPREAD + 1)
-    values = np.repeat(worth, np.minimum(counts, 3))
-    return float(np.sort(values)[-3:].sum()) if len(values) else 0.0
+def shares(differences: np.ndarray) -> np.ndarray:
+    """Root of the share of a text's windows that has each difference."""
+    return np.sqrt(np.bincount(differences, minlength=2 * SPREAD + 1) / max(1, len(differences)))
 
 
 def _grams(words: list[bytes], n: int) -> np.ndarray:
@@ -108,86 +110,125 @@ def _grams(words: list[bytes], n: int) -> np.ndarray:
     return np.unique(packed[~broken])
 
 
-def toxic_content(toxic: list[list[bytes]], ordinary: list[list[bytes]], keep: int = 120) -> bytes:
-    """Dictionary of the strings that mark toxic texts, the strongest last
-    (nearest, hence cheapest to refer to)."""
-    least = max(2, len(toxic) // 200)
-    strict = min(40.0, len(ordinary) / 8)
-    found: list[tuple[float, bytes, int]] = []
-    for n in (5, 6, 7, 8):
-        grams, counts = np.unique(np.concatenate([_grams(w, n) for w in toxic]), return_counts=True)
-        grams, counts = grams[counts >= least], counts[counts >= least]
-        if not len(grams):
-            continue
-        there = np.zeros(len(grams), np.int64)
-        for w in ordinary:
-            own = _grams(w, n)
-            at = np.searchsorted(grams, own)
-            at = at[(at < len(grams)) & (grams[np.minimum(at, len(grams) - 1)] == own)]
-            there[at] += 1
-        ratio = (counts / len(toxic)) / ((there + 1) / len(ordinary))
-        for i in np.flatnonzero(ratio >= strict):
-            found.append((float(counts[i] * np.log(ratio[i])), int(grams[i]).to_bytes(n, "big"), int(counts[i])))
-    chosen: list[tuple[bytes, int]] = []
-    for _, gram, count in sorted(found, key=lambda f: (-f[0], -len(f[1]), f[1])):
-        if not any((gram in g and c >= 0.9 * count) or (g in gram and c >= count) for g, c in chosen):
-            chosen.append((gram, count))
-            if len(chosen) == keep:
-                break
-    return b"".join(g for g, _ in reversed(chosen))
+@dataclass(frozen=True)
+class Strings:
+    """Strings of toxic texts, and in how many texts of each class and fold they stand."""
+
+    grams: list[np.ndarray]  # of each length
+    counts: list[np.ndarray]  # (ordinary and toxic, FOLDS, grams)
+    sizes: np.ndarray  # texts, (ordinary and toxic, FOLDS)
 
 
-def ordinary_content(toxic: bytes, ordinary: list[list[bytes]], keep: int = 2000) -> bytes:
-    """Dictionary of ordinary words: the commonest, then those that the toxic
-    dictionary would otherwise compress better."""
+def strings_of(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> Strings:
+    sizes = np.array([[len(texts[f::FOLDS]) for f in range(FOLDS)] for texts in (ordinary, toxic)])
+    found, counted = [], []
+    for n in LENGTHS:
+        grams, counts = np.unique(np.concatenate([_grams(w, n) for w in toxic]), return_counts=True)
+        grams = grams[counts >= 2]
+        there = np.zeros((2, FOLDS, len(grams)), np.int32)
+        for label, texts in enumerate((ordinary, toxic) if len(grams) else ()):
+            for i, w in enumerate(texts):
+                own = _grams(w, n)
+                at = np.searchsorted(grams, own)
+                at = at[(at < len(grams)) & (grams[np.minimum(at, len(grams) - 1)] == own)]
+                there[label, i % FOLDS, at] += 1
+        found.append(grams)
+        counted.append(there)
+    return Strings(found, counted, sizes)
+
+
+def toxic_strings(strings: Strings, folds: list[int], floor: float) -> list[bytes]:
+    """Strings at least twice as common in toxic texts with ``floor`` evidence or
+    more, the strongest last (nearest, hence cheapest to refer to).  A string
+    within a longer one that is about as common is left out."""
+    n_ordinary, n_toxic = np.maximum(1, strings.sizes[:, folds].sum(1)).tolist()
+    kept: dict[bytes, tuple[float, int]] = {}
+    for n, grams, counts in zip(LENGTHS, strings.grams, strings.counts, strict=True):
+        ordinary, toxic = counts[:, folds].sum(1)
+        ratio = (toxic / n_toxic) / ((ordinary + 1) / n_ordinary)
+        value = toxic * np.log(np.maximum(ratio, 1e-9))
+        for i in np.flatnonzero((ratio >= 2) & (value >= floor)):
+            kept[int(grams[i]).to_bytes(n, "big")] = (float(value[i]), int(toxic[i]))
+    within = {g for gram, (_, count) in kept.items() for g in (gram[1:], gram[:-1]) if g in kept and count >= 0.9 * kept[g][1]}
+    return sorted(kept.keys() - within, key=lambda g: (kept[g][0], g))
+
+
+def ordinary_content(marks: list[bytes], ordinary: list[list[bytes]], keep: int = 2000) -> bytes:
+    """Dictionary of ordinary words without a toxic string: the commonest, then
+    those that the toxic dictionary would otherwise compress better."""
+    known = set(marks)
+
+    def marked(word: bytes) -> bool:
+        word = b" " + word
+        return any(word[i : i + n] in known for n in LENGTHS for i in range(len(word) - n + 1))
+
     seen: Counter[bytes] = Counter()
     for words in ordinary:
         seen.update(set(words))
     common = [w for w, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:1500]]
-    first = Differences(toxic, b" " + b" ".join(reversed(common)))
-    claimed = ((w, n * d) for w, n in seen.items() if len(w) <= WINDOW and (d := first.window(w)) >= 1)
+    first = Differences(b"".join(marks), b" " + b" ".join(reversed(common)))
+    claimed = ((w, n * d) for w, n in seen.items() if len(w) <= WINDOW and (d := first.window(w)) >= 1 and not marked(w))
     hard = [w for w, _ in sorted(claimed, key=lambda x: (-x[1], x[0]))[:keep]]
-    return b" " + b" ".join(reversed(hard)) + b" " + b" ".join(reversed(common[:600]))
+    return b" " + b" ".join(reversed(hard)) + b" " + b" ".join(w for w in reversed(common[:600]) if not marked(w))
 
 
 def train(toxic_texts: list[str], ordinary_texts: list[str]) -> Model:
-    """Fit dictionaries, window worths and the document threshold.  With one
-    class missing, every text scores the labels' mean."""
+    """Fit dictionaries and the regression.  With one class missing, every text
+    scores the labels' mean."""
     prior = (len(toxic_texts) + 0.5) / (len(toxic_texts) + len(ordinary_texts) + 1)
-    flat = Model(b"", b"", (0.0,) * (2 * SPREAD + 1), 0.0, float(np.log(prior / (1 - prior))))
+    flat = Model(b"", b"", (0.0,) * (2 * SPREAD + 1), float(np.log(prior / (1 - prior))))
     if not toxic_texts or not ordinary_texts:
         return flat
     toxic, ordinary = [words_of(t) for t in toxic_texts], [words_of(t) for t in ordinary_texts]
-    bad = toxic_content(toxic, ordinary)
-    good = ordinary_content(bad, ordinary)
-    differences = Differences(bad, good)
-    per_doc = [differences.of(w) for w in toxic + ordinary]
-    counts = np.zeros((2, 2 * SPREAD + 1))
-    labels = np.array([1] * len(toxic) + [0] * len(ordinary))
-    for d, label in zip(per_doc, labels, strict=True):
-        counts[label] += np.bincount(d, minlength=2 * SPREAD + 1)
-    share = (counts + 0.5) / (counts + 0.5).sum(1, keepdims=True)
-    worth = np.log(share[1] / share[0])
-    worth[: SPREAD + 1] = np.minimum(worth[: SPREAD + 1], 0.0)
-    worth[SPREAD + 1 :] = np.maximum.accumulate(np.maximum(worth[SPREAD + 1 :], 0.0))  # more saved is never weaker evidence
-    x = np.array([evidence(d, worth) for d in per_doc])
-    slope, offset = _logistic(x, labels)
-    return Model(bad, good, tuple(map(float, worth)), slope, offset)
-
-
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """One-variable logistic regression by damped Newton steps."""
-    design = np.stack([x, np.ones_like(x)], 1)
-    beta = np.array([0.0, np.log((y.mean() + 1e-9) / (1 - y.mean() + 1e-9))])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        weight = p * (1 - p) + 1e-9
-        ridge = np.diag([0.01, 0.0])
-        step = np.linalg.solve(design.T @ (design * weight[:, None]) + ridge + 1e-9 * np.eye(2), design.T @ (y - p) - ridge @ beta)
-        beta += np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-8:
-            break
-    return float(beta[0]), float(beta[1])
+    strings = strings_of(toxic, ordinary)
+    y = np.array([1] * len(toxic) + [0] * len(ordinary))
+    fold = np.concatenate([np.arange(len(toxic)) % FOLDS, np.arange(len(ordinary)) % FOLDS])
+    best: tuple[float, float, np.ndarray, float] | None = None
+    for floor in FLOORS:
+        x = np.zeros((len(y), 2 * SPREAD + 1))
+        for f in range(FOLDS):
+            others = [k for k in range(FOLDS) if k != f]
+            marks = toxic_strings(strings, others, floor * len(others) / FOLDS)
+            differences = Differences(b"".join(marks), ordinary_content(marks, [w for i, w in enumerate(ordinary) if i % FOLDS != f]))
+            for i in np.flatnonzero(fold == f):
+                x[i] = shares(differences.of(toxic[i] if i < len(toxic) else ordinary[i - len(toxic)]))
+        weights, offset, loss = _logistic(x, y, fold)
+        if best is None or loss < best[0]:
+            best = (loss, floor, weights, offset)
+    _, floor, weights, offset = best
+    marks = toxic_strings(strings, list(range(FOLDS)), floor)
+    return Model(b"".join(marks), ordinary_content(marks, ordinary), tuple(map(float, weights)), offset)
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, float, float]:
+    """Weights and offset of a ridge logistic regression by damped Newton steps,
+    and its mean loss on each fold when fitted on the others."""
+    mean, spread = x.mean(0), x.std(0) + 1e-9
+    design = np.column_stack([(x - mean) / spread, np.ones(len(y))])
+
+    def solve(rows: np.ndarray) -> np.ndarray:
+        d, t = design[rows], y[rows]
+        beta = np.zeros(design.shape[1])
+        beta[-1] = np.log((t.mean() + 1e-9) / (1 - t.mean() + 1e-9))
+        ridge = np.eye(len(beta))
+        ridge[-1, -1] = 0.0
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(d @ beta, -30, 30)))
+            weight = p * (1 - p) + 1e-9
+            step = np.linalg.solve(d.T @ (d * weight[:, None]) + ridge + 1e-9 * np.eye(len(beta)), d.T @ (t - p) - ridge @ beta)
+            beta += np.clip(step, -2, 2)
+            if np.abs(step).max() < 1e-8:
+                break
+        return beta
+
+    loss = 0.0
+    for f in np.unique(fold):
+        if (fold != f).any():
+            z = np.clip(design[fold == f] @ solve(fold != f), -30, 30)
+            loss += float(np.logaddexp(0, np.where(y[fold == f] == 1, -z, z)).sum())
+    beta = solve(np.ones(len(y), bool))
+    weights = beta[:-1] / spread
+    return weights, float(beta[-1] - weights @ mean), loss / len(y)
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_toxic: int = 2000, max_ordinary: int = 5000, max_bytes: int = 48_000_000) -> Model:

@@ -184,6 +184,23 @@ def test_toxicity_separates_held_out_rows(spark):
     assert np.mean(hit) > 0.97 and all(0 <= s <= 1 for s, _ in held)
 
 
+def test_toxicity_by_marks_that_ordinary_texts_hold_too():
+    rng = np.random.default_rng(6)
+    syllables = ["ban", "to", "ri", "mek", "sul", "ona", "pe", "gar", "lich", "ung"]
+
+    def text(marks):
+        words = ["".join(rng.choice(syllables, 3)) for _ in range(80)]
+        for at in rng.choice(80, marks, replace=False):
+            words[at] = "achlich" + rng.choice(syllables)
+        return " ".join(words)
+
+    made = [(text(5), 1) if i % 6 == 0 else (text(int(i % 6 == 1)), 0) for i in range(900)]
+    model = toxicity.train([t for t, bad in made[:600] if bad], [t for t, bad in made[:600] if not bad])
+    differences = toxicity.Differences(model.toxic, model.ordinary)
+    hit = Counter(((model.score(differences.of(toxicity.words_of(t))) >= toxicity.THRESHOLD), bad) for t, bad in made[600:])
+    assert hit[True, 1] >= 45 and hit[True, 0] <= 12  # of 50 and 250
+
+
 def test_toxicity_of_awkward_rows(spark, odd, nothing):
     labels = spark.createDataFrame([(1, 1), (None, 1), (4, None), (5, 0), (7, 0)], "doc_id long, toxic int")
     scored = toxicity.score(odd, toxicity.fit(odd, labels))
