@@ -76,6 +76,12 @@ def components(d):
     return found.unionByName(alone.withColumn("component", col("node")))
 
 
+@query()
+def components_whole(d):
+    """Connected components over all links."""
+    return g.components(d.part.where("p_size % 4 <> 0").select(col("p_partkey").alias("u"), (col("p_partkey") + 7 + col("p_size") % 3).alias("v")))
+
+
 @query("""WITH RECURSIVE p AS (SELECT p_partkey AS n, p_partkey - 1 - p_size % 5 AS t FROM part WHERE p_partkey - 1 - p_size % 5 > 0), r AS (SELECT n, t FROM p UNION ALL SELECT r.n, p.t FROM r JOIN p ON r.t = p.n)
 SELECT n AS node, min(t) AS last, FALSE AS circular FROM r GROUP BY 1""")
 def pointer_chase(d):

@@ -35,3 +35,18 @@ def test_against_sql(spark, duck, name):
         assert cols == sorted(want.columns)
         order = [want.columns.index(c) for c in cols]
         assert got == sorted(tuple(norm(r[i]) for i in order) for r in want.fetchall())
+
+
+def test_components_of_all_links(spark):
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for r in spark.read.parquet(f"{SF}/../sf0.01/part.parquet").where("p_size % 4 <> 0").collect():
+        a, b = sorted((root(r["p_partkey"]), root(r["p_partkey"] + 7 + r["p_size"] % 3)))
+        parent[b] = a
+    got = {tuple(r) for r in QUERIES["components_whole"](spark, f"{SF}/../sf0.01").select("node", "component").collect()}
+    assert got == {(x, root(x)) for x in parent} and max(got)[0] > 300
