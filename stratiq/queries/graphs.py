@@ -125,3 +125,11 @@ def scoped_cycles(d):
     """G07, HYR3, TIM17: cycles within each scope, never over their union."""
     e = d.part.where("p_partkey < 60").select(col("p_type").alias("scope"), (col("p_partkey") % 13).alias("src"), ((col("p_partkey") * 3 + col("p_size")) % 13).alias("dst"))
     return g.cycle_members(e, ("scope",)).select("scope", "node")
+
+
+@query("""WITH RECURSIVE e AS (SELECT p_type AS scope, p_partkey % 13 AS s, (p_partkey * 3 + p_size) % 13 AS t FROM part), r AS (SELECT scope, s, t FROM e UNION SELECT r.scope, r.s, e.t FROM r JOIN e ON r.scope = e.scope AND r.t = e.s)
+SELECT DISTINCT scope, s AS node FROM r WHERE s = t""")
+def scoped_cycles_whole(d):
+    """G07, HYR3, TIM17: cycles within each scope, over all rows."""
+    e = d.part.select(col("p_type").alias("scope"), (col("p_partkey") % 13).alias("src"), ((col("p_partkey") * 3 + col("p_size")) % 13).alias("dst"))
+    return g.cycle_members(e, ("scope",)).select("scope", "node")

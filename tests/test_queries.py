@@ -50,3 +50,9 @@ def test_components_of_all_links(spark):
         parent[b] = a
     got = {tuple(r) for r in QUERIES["components_whole"](spark, f"{SF}/../sf0.01").select("node", "component").collect()}
     assert got == {(x, root(x)) for x in parent} and max(got)[0] > 300
+
+
+def test_scoped_cycles_of_all_rows(spark, tmp_path):
+    rows = [(1, "a", 10), (2, "a", 7), (1001, "b", -3003), (1002, "b", 6)]  # a: 1 -> 0, 2 -> 0; b, beyond key 60: 0 -> 0, 1 -> 9
+    spark.createDataFrame(rows, "p_partkey long, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    assert [tuple(r) for r in QUERIES["scoped_cycles_whole"](spark, str(tmp_path)).collect()] == [("b", 0)]
