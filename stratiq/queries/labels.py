@@ -34,6 +34,15 @@ def digits_only_pairs(d):
     return a.join(b, "mask").where("a < b").where(t.differ_in_digits_only(col("na"), col("nb"))).select("a", "b")
 
 
+@query("""WITH l AS (SELECT DISTINCT c_name AS label, regexp_replace(c_name, '[0-9]+', '#', 'g') AS mask FROM customer WHERE regexp_matches(c_name, '[0-9]'))
+SELECT label, representative, n FROM l JOIN (SELECT mask, min(label) AS representative, count(*) AS n FROM l GROUP BY 1) USING (mask)""")
+def digits_only_classes(d):
+    """every label with digits, its class of labels that differ in digits only (least member and size)."""
+    labels = d.customer.where(col("c_name").rlike("[0-9]")).select(col("c_name").alias("label"), F.regexp_replace("c_name", "[0-9]+", "#").alias("mask")).distinct()
+    classes = labels.groupBy("mask").agg(F.min("label").alias("representative"), F.count(F.lit(1)).alias("n"))
+    return labels.join(classes, "mask").select("label", "representative", "n")
+
+
 @query("""WITH w AS (SELECT DISTINCT p_name AS a, p_name || ' ' || lower(p_type) AS b FROM part) SELECT a, b, contains(' ' || b || ' ', ' ' || a || ' ') AS contained, length(a) AS prefix FROM w""")
 def containment(d):
     """a label within another, and their common prefix."""

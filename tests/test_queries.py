@@ -56,3 +56,9 @@ def test_scoped_cycles_of_all_rows(spark, tmp_path):
     rows = [(1, "a", 10), (2, "a", 7), (1001, "b", -3003), (1002, "b", 6)]  # a: 1 -> 0, 2 -> 0; b, beyond key 60: 0 -> 0, 1 -> 9
     spark.createDataFrame(rows, "p_partkey long, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
     assert [tuple(r) for r in QUERIES["scoped_cycles_whole"](spark, str(tmp_path)).collect()] == [("b", 0)]
+
+
+def test_digit_classes_of_all_labels(spark):
+    got = {r["label"]: (r["representative"], r["n"]) for r in QUERIES["digits_only_classes"](spark, SF).collect()}
+    names = {r["c_name"] for r in spark.read.parquet(f"{SF}/customer.parquet").collect()}
+    assert len(names) > 40 and got == {x: (min(names), len(names)) for x in names}  # all are Customer#digits
