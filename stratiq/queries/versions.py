@@ -63,6 +63,14 @@ def citation_translation(d):
     return v.translate_citations(rows, "p_partkey", "text", mapping)
 
 
+@query("SELECT p_partkey, 'see C-' || (p_partkey * 2) || ' or C-' || CASE WHEN p_size IN (SELECT p_partkey FROM part) THEN p_size * 2 ELSE p_size END || '!' AS text FROM part")
+def citation_translation_whole(d):
+    """renumbering all citations of all rows at once."""
+    rows = d.part.select("p_partkey", F.concat(F.lit("see C-"), col("p_partkey").cast("string"), F.lit(" or C-"), col("p_size").cast("string"), F.lit("!")).alias("text"))
+    mapping = d.part.select(F.concat(F.lit("C-"), col("p_partkey").cast("string")).alias("old"), F.concat(F.lit("C-"), (col("p_partkey") * 2).cast("string")).alias("new"))
+    return v.translate_citations(rows, "p_partkey", "text", mapping)
+
+
 @query("""SELECT change, count(*) AS n FROM (SELECT CASE WHEN k % 10 = 1 THEN 'retired' WHEN k % 10 = 2 THEN 'modified' WHEN k % 10 = 3 THEN 'renumbered' ELSE 'unchanged' END AS change FROM (SELECT p_partkey AS k FROM part)
 UNION ALL SELECT 'new' FROM part WHERE p_partkey % 10 = 4) GROUP BY 1""")
 def version_diff(d):

@@ -62,3 +62,8 @@ def test_digit_classes_of_all_labels(spark):
     got = {r["label"]: (r["representative"], r["n"]) for r in QUERIES["digits_only_classes"](spark, SF).collect()}
     names = {r["c_name"] for r in spark.read.parquet(f"{SF}/customer.parquet").collect()}
     assert len(names) > 40 and got == {x: (min(names), len(names)) for x in names}  # all are Customer#digits
+
+
+def test_citations_of_all_rows(spark):
+    path = f"{SF}/../sf0.01"
+    assert QUERIES["citation_translation_whole"](spark, path).where("p_partkey >= 1000").count() == spark.read.parquet(f"{path}/part.parquet").where("p_partkey >= 1000").count() > 0
