@@ -73,6 +73,12 @@ def comparison_keys(d):
     return d.documents.where(col("lang").isin("es", "fr")).select("doc_id", F.sha2(t.comparison_key(col("text")).cast("binary"), 256).alias("key"))
 
 
+@query()
+def comparison_keys_whole(d):
+    """keys of all documents, whatever their language."""
+    return d.documents.select("doc_id", F.sha2(t.comparison_key(col("text")).cast("binary"), 256).alias("key"))
+
+
 @query("""SELECT c_custkey, CASE WHEN t = '' THEN 'empty' WHEN lower(t) IN ('-', '—', '–', 'n/a', '?') THEN 'gap' WHEN regexp_matches(t, '^[A-Z]{1,3}-?[0-9]+$') THEN 'key' WHEN NOT regexp_matches(t, '[A-Za-z]') THEN 'no letters' END AS reason
 FROM (SELECT c_custkey, trim(CASE c_custkey % 6 WHEN 0 THEN ' ' WHEN 1 THEN '-' WHEN 2 THEN 'AB-' || c_custkey WHEN 3 THEN CAST(c_acctbal AS VARCHAR) WHEN 4 THEN c_name ELSE c_mktsegment END) AS t FROM customer)""")
 def discard_reasons(d):

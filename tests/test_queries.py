@@ -1,10 +1,12 @@
 """Every registered query with SQL agrees with DuckDB on the small tables."""
 
+import hashlib
 import math
 
 import duckdb
 import pytest
 
+from stratiq.functions.text import ACCENTED, PLAIN
 from stratiq.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
@@ -67,3 +69,13 @@ def test_digit_classes_of_all_labels(spark):
 def test_citations_of_all_rows(spark):
     path = f"{SF}/../sf0.01"
     assert QUERIES["citation_translation_whole"](spark, path).where("p_partkey >= 1000").count() == spark.read.parquet(f"{path}/part.parquet").where("p_partkey >= 1000").count() > 0
+
+
+def test_comparison_keys_of_all_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    got = {r["doc_id"]: r["key"] for r in QUERIES["comparison_keys_whole"](spark, SF).collect()}
+    bare = str.maketrans(dict(zip(ACCENTED, PLAIN + "\0" * len(ACCENTED))) | dict.fromkeys("*_`"))
+    assert len(got) == len({r["doc_id"] for r in docs}) and {r["lang"] for r in docs} > {"es", "fr"}
+    for r in docs:
+        key = None if r["text"] is None else hashlib.sha256(" ".join(r["text"].translate(bare).replace("\0", "").split()).lower().encode()).hexdigest()
+        assert got[r["doc_id"]] == key
