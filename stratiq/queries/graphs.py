@@ -100,6 +100,15 @@ def lowest_common_ancestor(d):
     return g.lowest_common_ancestor(parents, groups)
 
 
+@query("""WITH RECURSIVE e AS (SELECT c_custkey AS s, c_custkey // 2 AS t FROM customer WHERE c_custkey > 0), r AS (SELECT s, t FROM e UNION SELECT r.s, e.t FROM r JOIN e ON r.t = e.s), u AS (SELECT s, t FROM r UNION SELECT c_custkey, c_custkey FROM customer),
+g AS (SELECT DISTINCT c_nationkey AS grp, c_custkey AS n FROM customer), c AS (SELECT grp, t, count(DISTINCT n) AS k FROM g JOIN u ON u.s = g.n GROUP BY ALL)
+SELECT c.grp, max(t) AS lca FROM c JOIN (SELECT grp, count(*) AS k FROM g GROUP BY 1) z ON c.grp = z.grp AND c.k = z.k GROUP BY 1""")
+def lowest_common_ancestor_whole(d):
+    """The deepest node above all customers of a nation."""
+    parents = d.customer.select(col("c_custkey").alias("node"), F.when(col("c_custkey") > 0, F.expr("c_custkey div 2")).alias("parent"))
+    return g.lowest_common_ancestor(parents, d.customer.select(col("c_nationkey").alias("grp"), col("c_custkey").alias("node")))
+
+
 @query("""SELECT a.s_suppkey AS a, b.s_suppkey AS b, bool_or(na.n_regionkey = nb.n_regionkey) AS fits FROM supplier a JOIN supplier b ON b.s_suppkey = a.s_suppkey + 1 JOIN nation na ON na.n_nationkey = a.s_nationkey JOIN nation nb ON nb.n_nationkey = b.s_nationkey GROUP BY ALL""")
 def footprint_compatible(d):
     """Footprints that share a region."""

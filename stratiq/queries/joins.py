@@ -98,6 +98,15 @@ def set_conflicts(d):
     return r.both_selected(pairs, sel).select("owner", "a", "b")
 
 
+@query("""WITH sel AS (SELECT DISTINCT l_orderkey AS owner, l_suppkey AS m FROM lineitem)
+SELECT a.owner, a.m AS a, b.m AS b FROM sel a JOIN sel b ON a.owner = b.owner AND b.m = a.m + 1 WHERE a.m IN (SELECT s_suppkey FROM supplier)""")
+def set_conflicts_whole(d):
+    """J16, HYR2: all neighbouring suppliers that one owner selects both of."""
+    sel = d.lineitem.select(col("l_orderkey").alias("owner"), col("l_suppkey").alias("member")).distinct()
+    pairs = d.supplier.select(col("s_suppkey").alias("a"), (col("s_suppkey") + 1).alias("b"))
+    return r.both_selected(pairs, sel).select("owner", "a", "b")
+
+
 @query("SELECT DISTINCT a.c_custkey AS a, b.c_custkey AS b FROM customer a JOIN customer b ON a.c_nationkey = b.c_nationkey AND a.c_mktsegment = b.c_mktsegment AND a.c_custkey < b.c_custkey")
 def rival_pairs(d):
     """Pairs within a conflict group."""
@@ -245,6 +254,13 @@ def numeric_suffix_order(d):
     return d.supplier.select("s_suppkey", suffix.alias("suffix")).orderBy(F.desc("suffix"), "s_suppkey").limit(25)
 
 
+@query("SELECT s_suppkey, suffix, row_number() OVER (ORDER BY suffix DESC NULLS LAST, s_suppkey) AS position FROM (SELECT s_suppkey, CAST(regexp_extract(s_name, '([0-9]+)$', 1) AS BIGINT) AS suffix FROM supplier)")
+def numeric_suffix_positions(d):
+    """The place of every label in the order by its last number."""
+    rows = d.supplier.select("s_suppkey", F.regexp_extract("s_name", "([0-9]+)$", 1).cast("long").alias("suffix"))
+    return r.number_rows(rows.withColumn("down", -col("suffix")).withColumn("none", col("suffix").isNull()), ["none", "down", "s_suppkey"]).select("s_suppkey", "suffix", col("row_number").alias("position"))
+
+
 @query("SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY') AND c_acctbal IS NOT NULL")
 def closed_vocabulary(d):
     """Values outside a vocabulary."""

@@ -79,3 +79,21 @@ def test_comparison_keys_of_all_documents(spark):
     for r in docs:
         key = None if r["text"] is None else hashlib.sha256(" ".join(r["text"].translate(bare).replace("\0", "").split()).lower().encode()).hexdigest()
         assert got[r["doc_id"]] == key
+
+
+def test_orders_and_conflicts_of_all_suppliers(spark):
+    suppliers = {r["s_suppkey"] for r in spark.read.parquet(f"{SF}/../sf0.01/supplier.parquet").collect()}
+    placed = QUERIES["numeric_suffix_positions"](spark, f"{SF}/../sf0.01").orderBy("position").collect()
+    assert [r["position"] for r in placed] == list(range(1, len(suppliers) + 1)) and {r["s_suppkey"] for r in placed} == suppliers and len(suppliers) > 25
+    assert [r["suffix"] for r in placed] == sorted((r["suffix"] for r in placed), reverse=True)
+    owned = {}
+    for r in spark.read.parquet(f"{SF}/lineitem.parquet").collect():
+        owned.setdefault(r["l_orderkey"], set()).add(r["l_suppkey"])
+    small = {r["s_suppkey"] for r in spark.read.parquet(f"{SF}/supplier.parquet").collect()}
+    want = {(o, a, a + 1) for o, members in owned.items() for a in members & small if a + 1 in members}
+    assert {tuple(r) for r in QUERIES["set_conflicts_whole"](spark, SF).collect()} == want and any(a % 10 for _, a, _ in want)
+
+
+def test_common_ancestors_of_all_customers(spark, tmp_path):
+    spark.createDataFrame([(k, 1) for k in (0, 1, 2, 3, 4, 5, 13)] + [(k, 2) for k in (12, 6)], "c_custkey long, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    assert sorted(tuple(r) for r in QUERIES["lowest_common_ancestor_whole"](spark, str(tmp_path)).collect()) == [(1, 0), (2, 6)]
