@@ -9,7 +9,9 @@ then compared exactly: weighted Jaccard similarity of word shingles, weights
 being occurrence counts.
 
 Windows with too few word pairs of the benchmark to reach the similarity are
-not fingerprinted (a bound that loses nothing).  The benchmark is
+not fingerprinted (a bound that loses nothing).  Windows that hold enough
+shingles of an item are compared exactly whatever their fingerprint, so no
+near copy is lost to the radius.  The benchmark is
 broadcast after a check of its size; larger ones are taken in sections.
 """
 
@@ -64,6 +66,14 @@ def pairs_of(hashes: np.ndarray) -> np.ndarray:
     return hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ (hashes[1:] >> np.uint64(7))
 
 
+def grams_of(hashes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` words from each start."""
+    made = np.zeros(len(starts), np.uint64)
+    for k in range(size):
+        made = made * np.uint64(0x9E3779B97F4A7C15) + (hashes[starts + k] ^ (made >> np.uint64(29)))
+    return made
+
+
 def votes(hashes: np.ndarray) -> np.ndarray:
     """(words, 64): +1 where the word's hash has the bit, else -1."""
     bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -99,6 +109,54 @@ class BenchmarkIndex:
                 tables.append(table)
             self.by_length[length] = (np.array(members), tables)
 
+        self.grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        holders: dict[int, list[tuple[np.ndarray, np.ndarray]]] = defaultdict(list)
+        for n, (_, w) in enumerate(self.items):
+            size = min(shingle, len(w))
+            grams = np.unique(grams_of(hashes_of(w), np.arange(len(w) - size + 1), size))
+            holders[size].append((grams, np.full(len(grams), n)))
+        for size, held in holders.items():
+            grams, owners = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(grams, kind="stable")
+            distinct, first = np.unique(grams[order], return_index=True)
+            self.grams[size] = (distinct, np.append(first, len(order)), owners[order])
+
+    def _shared(self, hashes: np.ndarray, runs: np.ndarray | None) -> Iterator[tuple[int, np.ndarray]]:
+        """Items, each with the words at which one of its shingles begins."""
+        for size, (distinct, first, owners) in self.grams.items():
+            starts = np.arange(max(0, len(hashes) - size + 1)) if runs is None else np.flatnonzero(runs)
+            if not len(starts):
+                continue
+            grams = grams_of(hashes, starts, size)
+            at = np.minimum(np.searchsorted(distinct, grams), len(distinct) - 1)
+            hit = distinct[at] == grams
+            at, starts = at[hit], starts[hit]
+            many = first[at + 1] - first[at]
+            if not len(many):
+                continue
+            within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            items, places = owners[np.repeat(first[at], many) + within], np.repeat(starts, many)
+            order = np.argsort(items, kind="stable")
+            found, cuts = np.unique(items[order], return_index=True)
+            yield from zip(found.tolist(), np.split(places[order], cuts[1:]), strict=True)
+
+    def _exact(self, n: int, places: np.ndarray, words: list[bytes], best: tuple[float, int, int] | None) -> tuple[float, int, int] | None:
+        """The best window for an item; those that may be best come first."""
+        length = len(self.items[n][1])
+        span, size = min(length, len(words)), min(self.shingle, length)
+        inner, own = span - size + 1, length - size + 1
+        starts = np.arange(max(0, places[0] - inner + 1), min(len(words) - span, places[-1]) + 1)
+        common = np.searchsorted(places, starts + inner) - np.searchsorted(places, starts)
+        bound = common / np.maximum(own + inner - common, 1)
+        for i in np.argsort(-bound, kind="stable"):
+            if bound[i] < max(self.least, best[0] if best else 0.0) - 1e-9:
+                break
+            start = int(starts[i])
+            s = similarity(shingles(words[start : start + span], self.shingle), self.sets[n])
+            if s >= self.least and (best is None or (s, -start) > (best[0], -best[1])):
+                best = (s, start, span)
+        return best
+
     def matches(self, texts: list[bytes]) -> Iterator[tuple[int, int, float, int, int]]:
         """(text, item, similarity, first word, words) of the best window for each item found."""
         hashes, counts = word_hashes(texts, _TABLE)
@@ -110,6 +168,7 @@ class BenchmarkIndex:
 
     def _matches(self, hashes: np.ndarray, text: bytes) -> list[tuple[int, float, int, int]]:
         total = len(hashes)
+        runs = None
         ahead = np.zeros(total + 1, np.int64)  # how many shared shingles may begin before each word
         if not self.always:
             if total < self.shingle:
@@ -152,6 +211,12 @@ class BenchmarkIndex:
                 s = similarity(shingles(words[start : start + span], self.shingle), self.sets[n])
                 if s >= self.least and (n not in best or s > best[n][0]):
                     best[n] = (s, start, span)
+        for n, places in self._shared(hashes, runs):
+            if len(places) < math.ceil(self.least * len(self.items[n][1][self.shingle - 1 :] or [0]) - 1e-9) or (n in best and best[n][0] == 1.0):
+                continue
+            words = words or words_of(text.decode("utf-8", "surrogatepass"))
+            if (found := self._exact(n, places, words, best.get(n))) is not None:
+                best[n] = found
         return [(self.items[n][0], *found) for n, found in sorted(best.items())]
 
 

@@ -373,6 +373,20 @@ def test_decontamination(spark, docs, odd, nothing):
     assert decontam.contaminated(odd, odd_bench.where("false")).count() == 0
 
 
+def test_decontamination_of_passages_cut_at_one_end():
+    rng = np.random.default_rng(10)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    items = [(i, " ".join(word() for _ in range(60))) for i in range(150)]
+    index = decontam.BenchmarkIndex(items)
+    for i, text in items:
+        w = text.split()
+        for copy in (w[:54] + [word() for _ in range(6)], [word() for _ in range(6)] + w[6:]):
+            assert decontam.similarity(decontam.shingles([x.encode() for x in copy]), index.sets[i]) >= 0.8
+            around = [word() for _ in range(20)]
+            found = list(index.matches([" ".join(around + copy + around).encode()]))
+            assert [f[1] for f in found] == [i] and found[0][2] >= 0.8
+
+
 def test_fingerprints_within_the_radius_share_a_block():
     index = decontam.BenchmarkIndex([(1, "some words that make an item of the benchmark for this test")])
     rng = np.random.default_rng(1)
