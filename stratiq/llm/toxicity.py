@@ -1,22 +1,27 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on toxic and one on ordinary text.
-A text is read in windows (its words; words over ``WINDOW`` bytes in
-overlapping pieces), each window is compressed with both dictionaries, and the
-difference of the two compressed lengths is its evidence.  Every window counts:
-a text's score is a logistic regression on the shares of its windows with each
-difference.  It is fitted on training rows whose dictionaries were made from
-the other fold, which also choose how much evidence a string needs to enter
-the toxic dictionary.
+Two zstandard dictionaries are trained (``zstandard.train_dictionary``), one on
+toxic and one on ordinary text.  A text is read in windows of running words,
+each window is compressed with both dictionaries, and the difference of the two
+compressed lengths is its evidence.  Every window counts: a text's score is a
+logistic regression on the shares of its windows with each difference, which is
+the calibrated threshold.
+
+Toxic texts are ordinary prose with a few toxic passages, so a dictionary of
+their whole text is one of ordinary prose.  The toxic dictionary is therefore
+trained on the *stretches* of toxic texts whose byte strings are commoner there
+than in ordinary texts, the ordinary one on ordinary texts without them, and
+both continue the same trained base of ordinary prose, so that lengths differ
+by what is particular to a class.  How much evidence a string needs is chosen
+by two-fold validation on the training rows.
 
 Training reads a bounded sample of labelled rows (``max_toxic``,
 ``max_ordinary`` and ``max_bytes``, chosen by hash of the id); scoring reads
-every whole text, in place, without a shuffle.
+every whole text, in place, without a shuffle and without a cache.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +32,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-WINDOW = 64
+from stratiq.llm.common import slices
+
+WINDOW = 16  # bytes of running words
 THRESHOLD = 0.3
 #: zstd takes no match that starts in a block's last bytes and stores small
 #: blocks raw: a known head and an unknown tail around each window see to it
@@ -35,16 +42,39 @@ THRESHOLD = 0.3
 HEAD = bytes(range(1, 9)) + bytes(range(14, 22))
 TAIL = b" " + bytes(range(22, 31))
 SPREAD = 10  # differences are clipped to +-SPREAD
-CACHE = 250_000
 LENGTHS = (5, 6, 7, 8)  # bytes of a toxic string
-FLOORS = (16.0, 32.0, 64.0)  # evidence a toxic string needs, chosen between on the training rows
+FLOORS = (24.0, 48.0, 128.0)  # evidence a toxic string needs, chosen between on the training rows
 FOLDS = 2
+VALIDATED = 3  # all toxic rows and one in so many ordinary ones choose the evidence
+BASE_BYTES = 8192
+SAMPLE_BYTES = 160  # of one training sample of ordinary prose
+TRAIN_SAMPLES = 12_000
 
 
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def windows(words: list[bytes], size: int = WINDOW) -> list[bytes]:
+    """The whole text as runs of words of ``size`` bytes at most; a longer word
+    is cut into pieces that overlap by half."""
+    out: list[bytes] = []
+    held: list[bytes] = []
+    n = 0
+    for word in words:
+        if n + len(word) > size and held:
+            out.append(b" ".join(held))
+            held, n = [], 0
+        if len(word) > size:
+            out += [word[i : i + size] for i in range(0, len(word) - size // 2, size // 2)]
+        else:
+            held.append(word)
+            n += len(word) + 1
+    if held:
+        out.append(b" ".join(held))
+    return out
+
+
 def _compressor(content: bytes):
     params = zstandard.ZstdCompressionParameters(window_log=17, chain_log=14, hash_log=14, search_log=5, min_match=3, target_length=32, strategy=zstandard.STRATEGY_BTOPT, write_content_size=0, write_checksum=0, write_dict_id=0)
     trained = zstandard.ZstdCompressionDict(content + HEAD, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -52,29 +82,20 @@ def _compressor(content: bytes):
     return zstandard.ZstdCompressor(dict_data=trained, compression_params=params).compress
 
 
-class Differences(dict):
-    """Word to ordinary minus toxic compressed length, worked out once per word."""
+class Differences:
+    """Ordinary minus toxic compressed length of windows."""
 
     def __init__(self, toxic: bytes, ordinary: bytes):
-        super().__init__()
         self._toxic, self._ordinary = _compressor(toxic), _compressor(ordinary)
 
     def window(self, piece: bytes) -> int:
         block = HEAD + b" " + piece + TAIL
         return len(self._ordinary(block)) - len(self._toxic(block))
 
-    def __missing__(self, word: bytes) -> int:
-        if len(word) <= WINDOW:
-            value = self.window(word)
-        else:
-            value = max(self.window(word[i : i + WINDOW]) for i in range(0, len(word) - WINDOW // 2, WINDOW // 2))
-        if len(self) >= CACHE:
-            self.clear()
-        self[word] = value
-        return value
-
     def of(self, words: list[bytes]) -> np.ndarray:
-        found = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        """Clipped differences of all windows, from 0."""
+        pieces = windows(words)
+        found = np.fromiter(map(self.window, pieces), np.int64, len(pieces))
         return np.clip(found, -SPREAD, SPREAD) + SPREAD
 
 
@@ -95,19 +116,30 @@ def shares(differences: np.ndarray) -> np.ndarray:
     return np.sqrt(np.bincount(differences, minlength=2 * SPREAD + 1) / max(1, len(differences)))
 
 
-def _grams(words: list[bytes], n: int) -> np.ndarray:
-    """Distinct ``n``-byte strings without inner white space, as integers."""
-    raw = np.frombuffer(b" " + b" ".join(words), np.uint8)
-    if len(raw) < n:
-        return np.empty(0, np.uint64)
+def _packed(raw: np.ndarray, n: int) -> np.ndarray:
+    """The ``n`` bytes from each position as an integer; 0 where white space is
+    among them but for the first."""
     size = len(raw) - n + 1
+    if size <= 0:
+        return np.empty(0, np.uint64)
     packed = np.zeros(size, np.uint64)
     broken = np.zeros(size, bool)
     for k in range(n):
         packed = (packed << np.uint64(8)) | raw[k : k + size]
         if k:
             broken |= raw[k : k + size] == 32
-    return np.unique(packed[~broken])
+    packed[broken] = 0
+    return packed
+
+
+def _running(words: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b" " + b" ".join(words), np.uint8)
+
+
+def _grams(words: list[bytes], n: int) -> np.ndarray:
+    """Distinct ``n``-byte strings without inner white space, as integers."""
+    found = np.unique(_packed(_running(words), n))
+    return found[1:] if len(found) and not found[0] else found
 
 
 @dataclass(frozen=True)
@@ -137,39 +169,60 @@ def strings_of(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> Strings
     return Strings(found, counted, sizes)
 
 
-def toxic_strings(strings: Strings, folds: list[int], floor: float) -> list[bytes]:
-    """Strings at least twice as common in toxic texts with ``floor`` evidence or
-    more, the strongest last (nearest, hence cheapest to refer to).  A string
-    within a longer one that is about as common is left out."""
+def toxic_strings(strings: Strings, folds: list[int], floor: float) -> list[np.ndarray]:
+    """For each length, the strings (sorted, as integers) at least twice as
+    common in toxic texts with ``floor`` evidence or more."""
     n_ordinary, n_toxic = np.maximum(1, strings.sizes[:, folds].sum(1)).tolist()
-    kept: dict[bytes, tuple[float, int]] = {}
-    for n, grams, counts in zip(LENGTHS, strings.grams, strings.counts, strict=True):
+    kept = []
+    for grams, counts in zip(strings.grams, strings.counts, strict=True):
         ordinary, toxic = counts[:, folds].sum(1)
         ratio = (toxic / n_toxic) / ((ordinary + 1) / n_ordinary)
         value = toxic * np.log(np.maximum(ratio, 1e-9))
-        for i in np.flatnonzero((ratio >= 2) & (value >= floor)):
-            kept[int(grams[i]).to_bytes(n, "big")] = (float(value[i]), int(toxic[i]))
-    within = {g for gram, (_, count) in kept.items() for g in (gram[1:], gram[:-1]) if g in kept and count >= 0.9 * kept[g][1]}
-    return sorted(kept.keys() - within, key=lambda g: (kept[g][0], g))
-
-
-def ordinary_content(marks: list[bytes], ordinary: list[list[bytes]], keep: int = 2000) -> bytes:
-    """Dictionary of ordinary words without a toxic string: the commonest, then
-    those that the toxic dictionary would otherwise compress better."""
-    known = set(marks)
-
-    def marked(word: bytes) -> bool:
-        word = b" " + word
-        return any(word[i : i + n] in known for n in LENGTHS for i in range(len(word) - n + 1))
-
-    seen: Counter[bytes] = Counter()
+        kept.append(grams[(ratio >= 2) & (value >= floor)])
+    return kept
+
+
+def covered(raw: np.ndarray, marks: list[np.ndarray]) -> np.ndarray:
+    """Which bytes of a running text lie within a marked string."""
+    edge = np.zeros(len(raw) + 1, np.int64)
+    for n, known in zip(LENGTHS, marks, strict=True):
+        packed = _packed(raw, n)
+        if len(known) and len(packed):
+            at = np.flatnonzero(known[np.minimum(np.searchsorted(known, packed), len(known) - 1)] == packed)
+            np.add.at(edge, at, 1)
+            np.add.at(edge, at + n, -1)
+    return np.cumsum(edge)[:-1] > 0
+
+
+def _trained(samples: list[bytes], size: int) -> bytes:
+    """A trained dictionary, or the samples themselves where they are too few to train one."""
+    samples = samples[:TRAIN_SAMPLES]
+    if sum(map(len, samples)) > 4 * size and len(samples) >= 8:
+        try:
+            return zstandard.train_dictionary(size, samples, k=24, d=6).as_bytes()
+        except zstandard.ZstdError:
+            pass
+    return b"".join(samples)[-size:]
+
+
+def dictionaries(toxic: list[list[bytes]], ordinary: list[list[bytes]], marks: list[np.ndarray]) -> tuple[bytes, bytes]:
+    """The toxic and the ordinary dictionary."""
+    stretches: list[bytes] = []
+    for words in toxic:
+        raw = _running(words)
+        inside = np.diff(np.concatenate([[False], covered(raw, marks), [False]]).astype(np.int8))
+        stretches += [raw[a:b].tobytes() for a, b in zip(np.flatnonzero(inside == 1).tolist(), np.flatnonzero(inside == -1).tolist(), strict=True)]
+    samples = [b"".join(stretches[i : i + 8]) for i in range(0, len(stretches), 8)]
+    plain: list[bytes] = []
     for words in ordinary:
-        seen.update(set(words))
-    common = [w for w, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:1500]]
-    first = Differences(b"".join(marks), b" " + b" ".join(reversed(common)))
-    claimed = ((w, n * d) for w, n in seen.items() if len(w) <= WINDOW and (d := first.window(w)) >= 1 and not marked(w))
-    hard = [w for w, _ in sorted(claimed, key=lambda x: (-x[1], x[0]))[:keep]]
-    return b" " + b" ".join(reversed(hard)) + b" " + b" ".join(w for w in reversed(common[:600]) if not marked(w))
+        raw = _running(words)
+        clean = np.where(covered(raw, marks), np.uint8(32), raw).astype(np.uint8).tobytes()
+        plain += [clean[i : i + SAMPLE_BYTES] for i in range(0, len(clean), SAMPLE_BYTES)]
+        if len(plain) >= 2 * TRAIN_SAMPLES:
+            break
+    size = int(np.clip(8 * sum(map(len, marks)), 512, 4096))
+    base = _trained(plain[::2], BASE_BYTES)
+    return base + _trained(samples, size), base + _trained(plain[1::2], size)
 
 
 def train(toxic_texts: list[str], ordinary_texts: list[str]) -> Model:
@@ -183,21 +236,24 @@ def train(toxic_texts: list[str], ordinary_texts: list[str]) -> Model:
     strings = strings_of(toxic, ordinary)
     y = np.array([1] * len(toxic) + [0] * len(ordinary))
     fold = np.concatenate([np.arange(len(toxic)) % FOLDS, np.arange(len(ordinary)) % FOLDS])
-    best: tuple[float, float, np.ndarray, float] | None = None
-    for floor in FLOORS:
+    every = np.arange(len(y))
+    some = every[np.concatenate([np.zeros(len(toxic), int), np.arange(len(ordinary)) // FOLDS % VALIDATED]) == 0]
+
+    def fitted(floor: float, rows: np.ndarray) -> tuple[np.ndarray, float, float]:
+        """Weights, offset and loss; each row is read with dictionaries from the other fold."""
         x = np.zeros((len(y), 2 * SPREAD + 1))
         for f in range(FOLDS):
             others = [k for k in range(FOLDS) if k != f]
             marks = toxic_strings(strings, others, floor * len(others) / FOLDS)
-            differences = Differences(b"".join(marks), ordinary_content(marks, [w for i, w in enumerate(ordinary) if i % FOLDS != f]))
-            for i in np.flatnonzero(fold == f):
+            kept = [[w for i, w in enumerate(texts) if i % FOLDS != f] for texts in (toxic, ordinary)]
+            differences = Differences(*dictionaries(*kept, marks))
+            for i in rows[fold[rows] == f]:
                 x[i] = shares(differences.of(toxic[i] if i < len(toxic) else ordinary[i - len(toxic)]))
-        weights, offset, loss = _logistic(x, y, fold)
-        if best is None or loss < best[0]:
-            best = (loss, floor, weights, offset)
-    _, floor, weights, offset = best
-    marks = toxic_strings(strings, list(range(FOLDS)), floor)
-    return Model(b"".join(marks), ordinary_content(marks, ordinary), tuple(map(float, weights)), offset)
+        return _logistic(x[rows], y[rows], fold[rows])
+
+    floor = min(FLOORS, key=lambda v: fitted(v, some)[2])
+    weights, offset, _ = fitted(floor, every)
+    return Model(*dictionaries(toxic, ordinary, toxic_strings(strings, list(range(FOLDS)), floor)), tuple(map(float, weights)), offset)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, float, float]:
@@ -231,13 +287,9 @@ def _logistic(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> tuple[np.ndarra
     return weights, float(beta[-1] - weights @ mean), loss / len(y)
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_toxic: int = 2000, max_ordinary: int = 5000, max_bytes: int = 48_000_000) -> Model:
-    """Train on a bounded sample of the labelled rows whose crc32(id) mod 4 is not 2.
-
-    The sample is the ``max_toxic`` and ``max_ordinary`` rows with the smallest
-    hash of their id, up to ``max_bytes`` of text.  Null labels and ids are
-    left out; a document labelled both ways counts as toxic.
-    """
+def sample(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str, max_toxic: int, max_ordinary: int, max_bytes: int) -> tuple[list[str], list[str]]:
+    """Toxic and ordinary texts to train on: ids by hash, then sizes, then the
+    texts that fit; each step collects what its bound allows and no more."""
     spark = docs.sparkSession
     ident = F.col(id_col)
     known = labels.where(ident.isNotNull() & F.col(label_col).isNotNull() & (F.crc32(ident.cast("string").cast("binary")) % 4 != 2))
@@ -245,40 +297,64 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     picked = []
     for label, most in ((1, max_toxic), (0, max_ordinary)):
         some = known.where(F.col("__label") == label).orderBy(F.xxhash64(id_col), id_col).limit(most)
-        picked += [(r[0], label) for r in some.select(id_col).collect()]  # at most max_toxic + max_ordinary ids
+        picked += [(r[0], r[1], label) for r in some.select(id_col, F.xxhash64(id_col)).collect()]  # at most max_toxic + max_ordinary ids
     if not picked:
-        return train([], [])
-    schema = f"`{id_col}` {labels.schema[id_col].dataType.simpleString()}, `__label` int"
-    ids = spark.createDataFrame(picked, schema)
-    rows = docs.select(id_col, text_col).join(F.broadcast(ids), id_col).select("__label", F.coalesce(text_col, F.lit("")).alias("text"), F.xxhash64(id_col).alias("h"), id_col)
+        return [], []
+    kind = labels.schema[id_col].dataType.simpleString()
+    rows = docs.select(id_col, F.coalesce(text_col, F.lit("")).alias("__text"))
+    ids = spark.createDataFrame([r[:1] for r in picked], f"`{id_col}` {kind}")
+    size = F.octet_length("__text").alias("__size")
+    sizes = {r[0]: r[1] for r in rows.join(F.broadcast(ids), id_col).groupBy(id_col).agg(F.min(size).alias("size")).collect()}  # a row per picked id
+    wanted, total = [], 0
+    for i, _, label in sorted(picked, key=lambda r: r[1]):
+        if i in sizes and total + sizes[i] <= max_bytes:
+            total += sizes[i]
+            wanted.append((i, sizes[i], label))
+    if not wanted:
+        return [], []
+    asked = spark.createDataFrame(wanted, f"`{id_col}` {kind}, `__size` int, `__label` int")
+    found = rows.select(id_col, "__text", size).join(F.broadcast(asked), [id_col, "__size"]).groupBy(id_col, "__label").agg(F.min("__text").alias("text"))
     texts: tuple[list[str], list[str]] = ([], [])
-    size = 0
-    for row in sorted(rows.collect(), key=lambda r: (r["h"], str(r[id_col]), r["text"])):
-        size += len(row["text"])
-        if size > max_bytes:
-            break
+    for row in found.orderBy(F.xxhash64(id_col), id_col).collect():  # at most max_bytes of text
         texts[row["__label"]].append(row["text"])
-    return train(texts[1], texts[0])
+    return texts[1], texts[0]
+
+
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_toxic: int = 1500, max_ordinary: int = 4000, max_bytes: int = 10_000_000) -> Model:
+    """Train on a bounded sample of the labelled rows whose crc32(id) mod 4 is not 2.
+
+    The sample is the ``max_toxic`` and ``max_ordinary`` ids with the smallest
+    hash, and of these the texts that fit into ``max_bytes``; texts over that
+    size are passed over.  Null labels and ids are left out; an id labelled
+    both ways counts as toxic; of several texts of one id the shortest (of
+    equally short ones the least) is read.  Null texts are empty.  Without
+    labelled rows, or with one class only, every text scores the labels' mean.
+    Further columns of either table are not read.
+    """
+    return train(*sample(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, max_toxic=max_toxic, max_ordinary=max_ordinary, max_bytes=max_bytes))
 
 
 _LOADED: dict[Model, Differences] = {}
 
 
-def score(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
-    """``docs`` with a ``score`` from 0 to 1 that depends on the text alone.
-    Null and empty texts have no window and score as evidence 0; a column
-    named ``score`` is replaced."""
-    docs = docs.drop("score")
-    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
+def score(docs: DataFrame, model: Model, *, text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """``docs`` with ``score_col`` from 0 to 1, which depends on the text alone.
+
+    Null and empty texts have no window and score as evidence 0; texts of any
+    length are read whole; equal texts score the same; an empty table stays
+    empty.  A column that is already named ``score_col`` is replaced.
+    """
+    docs = docs.drop(score_col)
+    schema = T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         differences = _LOADED.get(model)
         if differences is None:
             _LOADED.clear()
             differences = _LOADED[model] = Differences(model.toxic, model.ordinary)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(batch.schema.names.index(text_col))
             scores = [model.score(differences.of(words_of(t.as_py()))) for t in texts]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, score_col])
 
     return docs.mapInArrow(run, schema)

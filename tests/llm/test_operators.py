@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from stratiq.llm import decontam, ngramjoin, packing, secrets, sharding, tokencounts, tokenfiles, topk, toxicity
@@ -201,6 +202,35 @@ def test_toxicity_by_marks_that_ordinary_texts_hold_too():
     assert hit[True, 1] >= 45 and hit[True, 0] <= 12  # of 50 and 250
 
 
+def test_scores_are_those_of_plainly_compressed_windows(spark, docs):
+    model = toxicity.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    params = zstandard.ZstdCompressionParameters(window_log=17, chain_log=14, hash_log=14, search_log=5, min_match=3, target_length=32, strategy=zstandard.STRATEGY_BTOPT, write_content_size=0, write_checksum=0, write_dict_id=0)
+
+    def length(content, piece):  # a fresh dictionary and compressor for every window
+        d = zstandard.ZstdCompressionDict(content + toxicity.HEAD, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(dict_data=d, compression_params=params).compress(toxicity.HEAD + b" " + piece + toxicity.TAIL))
+
+    for r in toxicity.score(docs.orderBy(F.length("text")).limit(40), model, score_col="s").collect():
+        words = (r["text"] or "").encode().lower().split()
+        pieces = toxicity.windows(words)
+        if not any(len(w) > toxicity.WINDOW for w in words):
+            assert b" ".join(pieces) == b" ".join(words)
+        held = np.zeros(21)
+        for piece in pieces:
+            held[min(10, max(-10, length(model.ordinary, piece) - length(model.toxic, piece))) + 10] += 1
+        z = float(np.sqrt(held / max(1, len(pieces))) @ np.array(model.weights)) + model.offset
+        assert abs(r["s"] - 1 / (1 + np.exp(-z))) < 1e-9
+
+
+def test_the_training_sample_is_bounded(spark):
+    rows = [(i % 50, "x" * (i + 1)) for i in range(500)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    lab = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int")
+    toxic, ordinary = toxicity.sample(d, lab, id_col="doc_id", text_col="text", label_col="toxic", max_toxic=10, max_ordinary=5, max_bytes=200)
+    assert 0 < len(toxic) <= 10 and 0 < len(ordinary) <= 5 and sum(map(len, toxic + ordinary)) <= 200
+    assert all(len(t) <= 50 for t in toxic + ordinary)  # the shortest text of its id
+
+
 def test_toxicity_of_awkward_rows(spark, odd, nothing):
     labels = spark.createDataFrame([(1, 1), (None, 1), (4, None), (5, 0), (7, 0)], "doc_id long, toxic int")
     scored = toxicity.score(odd, toxicity.fit(odd, labels))
