@@ -19,28 +19,46 @@ from stratiq.llm.secrets import redact_documents
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the toxicity threshold."""
+    """Documents that score below the toxicity threshold.
+
+    Null and empty texts are scored too and repeated rows all treated alike; an
+    empty table stays empty; a column of any name in ``docs`` is left as it is.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
+    name = "__toxicity"
+    while name in docs.columns:
+        name += "_"
+    return toxicity.score(docs, model, score_col=name).where(F.col(name) < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group linked by word five-grams at 0.8 or more."""
+    """One document of every group linked by word five-grams at 0.8 or more.
+
+    Texts without words and rows without an id all stay; equal rows (id and
+    text) are one, different texts of one id are never merged by their id.
+    """
     return one_per_group(docs, size=5, numerator=80, denominator=100)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no near copy of a benchmark item."""
+    """Documents that hold no near copy of a benchmark item.
+
+    Null and empty texts and items match nothing; nothing is merged.
+    """
     return uncontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in their texts replaced by a mark."""
+    """All documents, secrets in their texts replaced by a mark.
+
+    Null texts stay null; rows keep their number; other columns are not read.
+    """
     return redact_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in bins."""
+    """Pieces of all documents in bins: null and empty texts are pieces of one
+    byte, long texts several pieces, repeated rows packed one by one."""
     return pack_documents(docs)
 
 
