@@ -5,7 +5,7 @@
    The most frequent n-grams, ``HOT_KEYS`` at most, define the global order:
    by frequency class, rarest first, then by hash.  (Any order is right; this
    one keeps common passages out of the prefixes.)
-2. *Classes.*  Documents with equal sets are one class, joined once.
+2. *Classes.*  Documents with equal word sequences are one class, joined once.
 3. *Prefixes.*  Two sets that link share one of the first
    ``n - ceil(t n) + 1`` n-grams of each.  Classes meet at their shared prefix
    n-grams; length and position bounds leave few candidates.
@@ -16,12 +16,17 @@
 5. *Prefix trees.*  A class's candidates, as globally ordered sets (most
    frequent first), form a trie; the class's own set walks it once, so partial
    overlaps are shared, and subtrees whose remaining lengths cannot reach the
-   overlap needed are pruned.
+   overlap needed are pruned.  The sets are made of the texts' real words, not
+   of hashes.  A class with many candidates meets them in several tasks.
 6. *Components* of the links give the groups.
+
+Hashes decide what is looked at (equal n-grams have equal hashes, so nothing
+is lost); every link is decided on real words.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -39,8 +44,9 @@ FIRST_LEVEL = 3  # n-grams in fewer than 2**FIRST_LEVEL documents are all alike
 WIDE_LEVEL = 10  # prefix groups of n-grams from this level on may be large
 RANGE_KEYS = 1 << 20
 CHUNK_KEYS = 1 << 20
-FILTER_BITS = 22
-ELEMENT_BYTES = 5
+FILTER_BITS = (20, 28)  # of the bitmap of asked ids: least and most
+PROBE_ROWS = 256  # candidates that one task compares with a set
+BUFFER_BYTES = 2_000_000
 _TABLE = separators()
 _FOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -69,9 +75,9 @@ def ngram_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
     return out
 
 
-def signature(a: np.ndarray) -> bytes:
-    """128 bits that stand for a set."""
-    return np.array([mix(a).sum(), mix(a ^ _FOLD).sum()], np.uint64).tobytes()
+def sequence_key(text: bytes) -> bytes:
+    """Stands for a text's word sequence."""
+    return hashlib.blake2b(b" ".join(text.lower().split()), digest_size=16).digest()
 
 
 def planes(values: np.ndarray, width: int) -> bytes:
@@ -106,13 +112,56 @@ class Order:
         return out
 
 
+class _Numbers(dict):
+    """Numbers things from 0 in the order in which they are first asked for."""
+
+    def __missing__(self, thing) -> int:
+        n = self[thing] = len(self)
+        return n
+
+
+def exact_sets(texts: list[bytes], size: int, order: Order | None = None) -> list[np.ndarray]:
+    """The n-gram sets of texts as ascending ranks, equal if and only if the
+    n-grams are equal word by word.  Ranks follow the global order, the most
+    frequent first, then the hash, then the n-gram."""
+    numbers, short = _Numbers(), _Numbers()
+    split = [t.lower().split() for t in texts]
+    counts = np.array([len(w) for w in split])
+    words = np.fromiter((numbers[w] for ws in split for w in ws), np.int64, int(counts.sum()))
+    n = max(0, len(words) - size + 1)
+    code, most = words[:n].copy(), len(numbers)
+    for j in range(1, size):
+        if most * len(numbers) >= 1 << 62:
+            known, code = np.unique(code, return_inverse=True)
+            most = len(known)
+        code = code * len(numbers) + words[j : j + n]
+        most *= len(numbers)
+    distinct, first, code = np.unique(code, return_index=True, return_inverse=True)
+    hashes, _ = word_hashes(texts, _TABLE)
+    grams = hashes[:n].copy()
+    for j in range(1, size):
+        grams = mix(grams * _FOLD + hashes[j : j + n])
+    grams = grams[first]
+    level = order.of(grams) if order is not None and len(order.keys) else np.zeros(len(grams), np.uint8)
+    rank = np.empty(len(distinct), np.uint32)
+    rank[np.lexsort((grams, -level.astype(np.int64)))] = np.arange(len(distinct))
+    code = rank[code]
+    out = []
+    for begin, many, ws in zip((np.cumsum(counts) - counts).tolist(), counts.tolist(), split, strict=True):
+        if many >= size:
+            out.append(np.unique(code[begin : begin + many - size + 1]))
+        else:
+            out.append(np.array([len(distinct) + short[tuple(ws)]] if ws else [], np.uint32))
+    return out
+
+
 class PrefixTree:
     """Trie over globally ordered sets.  Sets in lexicographic order, with the
     length each shares with the one before, are the trie's depth-first walk:
     what two neighbours share is their common path from the root."""
 
     def __init__(self, sets: list[np.ndarray]):
-        self.order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
+        self.order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u4").tobytes())
         self.sets = [sets[i] for i in self.order]
         self.shared = [0]
         for a, b in zip(self.sets[:-1], self.sets[1:], strict=True):
@@ -216,9 +265,11 @@ def link_documents(docs: DataFrame, *, size: int = 3, numerator: int = 90, denom
 
     Returns one row per row of ``docs``: the id, ``n_shingles``,
     ``component_id`` (least id of the group) and ``class_id`` (least id with an
-    equal set).  Texts without words, and nulls, have no n-gram and link with
-    nothing.  Rows without an id take no part and get null for both; rows that
-    share an id share a group.  An empty table gives no rows.
+    equal word sequence).  Texts without words, and nulls, have no n-gram and
+    link with nothing.  Rows without an id take no part and get null for both;
+    rows that share an id share a group, and so do the groups of their texts.
+    Texts of any length are read whole; an empty table gives no rows; further
+    columns are not read.
     """
     spark = docs.sparkSession
     num, den = numerator, denominator
@@ -229,7 +280,8 @@ def link_documents(docs: DataFrame, *, size: int = 3, numerator: int = 90, denom
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = _order(ordering)
         for batch in slices(batches):
-            sets = ngram_sets(_binary(batch.column(1)), size)
+            texts = _binary(batch.column(1))
+            sets = ngram_sets(texts, size)
             level = order.of(np.concatenate(sets)) if sets and len(order.keys) else np.zeros(sum(map(len, sets)), np.uint8)
             parts, narrow_counts, at = [], [], 0
             for a in sets:
@@ -247,7 +299,7 @@ def link_documents(docs: DataFrame, *, size: int = 3, numerator: int = 90, denom
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
             flat = np.concatenate(parts) if parts else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([signature(s) for s in sets], pa.binary()), pa.ListArray.from_arrays(offsets, flat), pa.array(narrow_counts, pa.int32())],
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(map(sequence_key, texts), pa.binary()), pa.ListArray.from_arrays(offsets, flat), pa.array(narrow_counts, pa.int32())],
                 ["doc_id", "n", "sig", "prefix", "n_narrow"],
             )
 
@@ -282,9 +334,11 @@ def link_documents(docs: DataFrame, *, size: int = 3, numerator: int = 90, denom
     meet = (col("s.key") == col("o.key")) & (col("s.g") != col("o.g")) & (col("o.rep") != col("s.c_rep")) & (~col("o.apart") | (col("s.rep") < col("o.rep")))
     rest = s.join(o, meet & possible(col("s.n"), col("s.pos"), col("o.n"), col("o.pos"))).select(col("s.rep").alias("a"), col("o.rep").alias("b"))
     links = first.unionByName(_verified(rest.distinct(), narrow, ordering, size, num, den))
-    groups = components(links)
-
+    texts_of = usable.groupBy("doc_id").agg(F.min("sig").alias("one"), F.max("sig").alias("other")).where("one <> other").select("doc_id")
     reps = usable.groupBy("sig").agg(F.min("doc_id").alias("rep"))
+    joined = usable.select("doc_id", "sig").join(texts_of, "doc_id").join(reps, "sig").where("doc_id <> rep").select(F.least("doc_id", "rep").alias("u"), F.greatest("doc_id", "rep").alias("v"))
+    groups = components(links.unionByName(joined.distinct()))
+
     class_groups = reps.join(groups, col("rep") == col("node"), "left").select("sig", "rep", F.coalesce("component", "rep").alias("component"))
     out = made.select("doc_id", "n", "sig").join(class_groups, "sig", "left")
     empty = col("n") == 0
@@ -299,86 +353,109 @@ def link_documents(docs: DataFrame, *, size: int = 3, numerator: int = 90, denom
 def one_per_group(docs: DataFrame, *, size: int = 5, numerator: int = 80, denominator: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of every group of near copies: the one with the
     least id.  Documents without words, and rows without an id, all stay.
-    Rows that share an id are one document, of which one row stays."""
-    linked = link_documents(docs, size=size, numerator=numerator, denominator=denominator, id_col=id_col, text_col=text_col)
-    gone = linked.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    kept = docs.join(gone, id_col, "left_anti").select(*docs.columns)
-    again = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1")
-    if again.isEmpty():
-        return kept
-    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(kept.where(F.col(id_col).isNull()))
-
-
-def _candidate_sets(narrow: DataFrame, asked: DataFrame, ordering, size: int) -> DataFrame:
-    """Globally ordered sets (``rep``, ``n``, ``elements``) of the documents that are
-    asked for (``rep``).  A bitmap of fixed size, of hashes of their ids, tells
-    which texts to read; what it lets through in excess is never asked for."""
-    spots = asked.select(F.pmod(F.xxhash64("rep"), F.lit(1 << FILTER_BITS)).alias("spot"))
-    words = spots.groupBy(F.expr("spot div 32").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(spot, 32) as int))")))
-    bitmap = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
-    for w, b in words.collect():  # at most 2**(FILTER_BITS - 5) words
-        bitmap[w] = b & 0xFFFFFFFF
+
+    Where ids repeat, every distinct pair of id and text is a document: equal
+    pairs are one, of which the row with the least hash stays; different texts
+    of an id are grouped by their texts, so that none is lost to its id.
+    """
+    settings = {"size": size, "numerator": numerator, "denominator": denominator, "text_col": text_col}
+    named = docs.where(F.col(id_col).isNotNull())
+    if named.groupBy(id_col).count().where("count > 1").isEmpty():
+        linked = link_documents(docs, id_col=id_col, **settings)
+        gone = linked.where(F.col(id_col) != F.col("component_id")).select(id_col)
+        return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    keyed = named.withColumn("__key", F.xxhash64(id_col, text_col))
+    linked = link_documents(keyed, id_col="__key", **settings).select("__key", "component_id").distinct()
+    least = linked.join(keyed.select("__key", F.col(id_col).alias("__id")).distinct(), "__key").groupBy("component_id").agg(F.min(F.struct("__id", "__key")).alias("least"))
+    kept = keyed.join(least.select(F.col("least.__key").alias("__key")), "__key", "left_semi")
+    one = Window.partitionBy("__key").orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
+    return kept.withColumn("__row", F.row_number().over(one)).where("__row = 1").select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+
+
+def _candidate_texts(narrow: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``narrow`` whose id is asked for (``rep``), and few others.  A
+    bitmap of hashes of the ids, 16 bits for each as far as its greatest size
+    allows, tells which texts to send on."""
+    asked = ids.count()
+    bits = min(max((16 * asked).bit_length(), FILTER_BITS[0]), FILTER_BITS[1])
+    spot = F.pmod(F.xxhash64("rep"), F.lit(1 << bits))
+    words = ids.select(spot.alias("spot")).groupBy(F.expr("spot div 32").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(spot, 32) as int))")).alias("b"))
+    bitmap = np.zeros(1 << (bits - 5), np.uint32)
+    for part in words.toArrow().to_batches():  # at most 2**(bits - 5) words
+        bitmap[part.column(0).to_numpy()] = (part.column(1).to_numpy() & 0xFFFFFFFF).astype(np.uint32)
     held = narrow.sparkSession.sparkContext.broadcast(bitmap.tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = _order(ordering)
         bits = np.frombuffer(held.value, "<u4")
-        for batch in slices(batches):
+        for batch in batches:
             at = batch.column(2).to_numpy()
             batch = batch.filter(pa.array((bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1))
             if batch.num_rows:
-                sets = ngram_sets(_binary(batch.column(1)), size)
-                packed = []
-                for a in sets:
-                    lv = order.of(a) if len(order.keys) else np.zeros(len(a), np.uint8)
-                    by = np.argsort(((np.uint64(63) - lv) << np.uint64(58)) | (a >> np.uint64(6)))
-                    packed.append(planes(a[by] >> np.uint64(64 - 8 * ELEMENT_BYTES), ELEMENT_BYTES))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([signature(s) for s in sets], pa.binary()), pa.array(packed, pa.binary())], ["rep", "n", "sig", "elements"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["rep", "text"])
 
-    rows = narrow.where(F.col("doc_id").isNotNull()).select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).cast("int").alias("at"))
-    return materialise(rows.mapInArrow(run, "rep long, n long, sig binary, elements binary"), "sets")
+    rows = narrow.where(F.col("doc_id").isNotNull()).select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits)).cast("int").alias("at"))
+    return rows.mapInArrow(run, "rep long, text string")
 
 
 def _verified(pairs: DataFrame, narrow: DataFrame, ordering, size: int, num: int, den: int) -> DataFrame:
     """The pairs ``a``, ``b`` that link, as ``u``, ``v``.  Each ``a`` gets its own
-    set and its candidates' sets in one run of rows, its own first."""
+    text and its candidates' texts in one run of rows, its own first; one with
+    over ``PROBE_ROWS`` candidates gets several runs, in different tasks."""
     pairs = materialise(pairs, "pairs", few=True)
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
-    sets = _candidate_sets(narrow, ends, ordering, size)
-    asked = pairs.unionByName(pairs.select("a", F.col("a").alias("b")).distinct())
-    sent = asked.join(sets.select(F.col("rep").alias("b"), "n", "elements"), "b")
-    runs = sent.repartition("a").sortWithinPartitions("a", F.col("a") != F.col("b"), "b")
+    probes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PROBE_ROWS).cast("int").alias("k"))
+    dealt = pairs.join(probes, "a").select("a", F.pmod(F.xxhash64("b"), "k").cast("int").alias("salt"), "b")
+    own = probes.select("a", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("salt"), F.col("a").alias("b"))
+    asked = dealt.unionByName(own)
+    texts = _candidate_texts(narrow, asked.select(F.col("b").alias("rep")).distinct())
+    sent = asked.join(texts.select(F.col("rep").alias("b"), "text"), "b")
+    runs = sent.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("a") != F.col("b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a = None
-        own: list[tuple[int, np.ndarray]] = []
-        others: list[tuple[int, int, np.ndarray]] = []
-        links: list[tuple[int, int]] = []
-
-        def flush() -> None:
-            if others:
-                tree = PrefixTree([o[2] for o in others])
-                for n, probe in own:
-                    needed = [-(-num * (n + o[1]) // (den + num)) for o in others]
-                    links.extend((a, others[i][0]) for i, _ in tree.overlaps(probe, needed))
-                others.clear()
+        order = _order(ordering)
+        texts: list[bytes] = []
+        groups: list[tuple[int, list[int], list[tuple[int, int]]]] = []  # a, its texts, candidates and their texts
+        held = 0
 
-        for batch in batches:
-            for x, b, n, elements in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if x != a:
-                    flush()
-                    own.clear()
-                    a = x
-                if b == x:
-                    own.append((n, unplanes(elements, ELEMENT_BYTES)))
-                else:
-                    others.append((b, n, unplanes(elements, ELEMENT_BYTES)))
-                    if len(others) >= 512:
-                        flush()
-            flush()
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal held
+            links: list[tuple[int, int]] = []
+            sets = exact_sets(texts, size, order)
+            for a, mine, others in groups:
+                if others:
+                    tree = PrefixTree([sets[t] for _, t in others])
+                    for m in mine:
+                        needed = [-(-num * (len(sets[m]) + len(sets[t])) // (den + num)) for _, t in others]
+                        links.extend((a, others[i][0]) for i, _ in tree.overlaps(sets[m], needed))
+            again = [texts[m] for m in groups[-1][1]] if groups else []  # the last group may go on
+            if groups:
+                groups[:] = [(groups[-1][0], list(range(len(again))), [])]
+            texts[:] = again
+            held = sum(map(len, again))
             if links:
                 u, v = zip(*links, strict=True)
-                links.clear()
                 yield pa.RecordBatch.from_pydict({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    return runs.select("a", "b", "n", "elements").mapInArrow(run, "u long, v long").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        now = None
+        for batch in batches:
+            for a, salt, b, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).cast(pa.binary()), strict=True):
+                if (a, salt) != now:
+                    if held >= BUFFER_BYTES:
+                        yield from flush()
+                        texts.clear()
+                        groups.clear()
+                        held = 0
+                    now = (a, salt)
+                    groups.append((a, [], []))
+                elif held >= BUFFER_BYTES and groups[-1][2]:
+                    yield from flush()
+                at = len(texts)
+                texts.append(text.as_py())
+                held += len(texts[-1])
+                if b == a:
+                    groups[-1][1].append(at)
+                else:
+                    groups[-1][2].append((b, at))
+        yield from flush()
+
+    found = runs.select("a", "salt", "b", "text").mapInArrow(run, "u long, v long")
+    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()

@@ -127,7 +127,7 @@ c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM g a JOIN g b ON a.
 l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 90 * (x.n + y.n - i)),
 e AS (SELECT a AS u, b AS v FROM l UNION SELECT b, a FROM l),
 r AS (SELECT doc_id AS u, doc_id AS v FROM documents UNION SELECT r.u, e.v FROM r JOIN e ON r.v = e.u),
-q AS (SELECT doc_id, string_agg(h, '' ORDER BY h) AS k FROM g GROUP BY 1), k AS (SELECT k, min(doc_id) AS class_id FROM q GROUP BY 1)
+q AS (SELECT doc_id, array_to_string(ws, ' ') AS k FROM w WHERE len(ws) > 0), k AS (SELECT k, min(doc_id) AS class_id FROM q GROUP BY 1)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, coalesce(k.class_id, d.doc_id) AS class_id FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT u, min(v) AS component_id FROM r GROUP BY 1) m ON m.u = d.doc_id
 LEFT JOIN q ON q.doc_id = d.doc_id LEFT JOIN k ON k.k = q.k""",
     "op8_chat_rotation": """WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),

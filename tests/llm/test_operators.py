@@ -297,13 +297,50 @@ def test_ngram_join_of_nothing(nothing):
 
 def test_prefix_tree():
     rng = np.random.default_rng(2)
-    sets = [np.unique(rng.integers(0, 60, 30)).astype(np.uint64) for _ in range(50)]
-    probe = np.unique(rng.integers(0, 60, 30)).astype(np.uint64)
+    sets = [np.unique(rng.integers(0, 60, 30)).astype(np.uint32) for _ in range(50)]
+    probe = np.unique(rng.integers(0, 60, 30)).astype(np.uint32)
     needed = [12 + i % 5 for i in range(50)]
     want = {(i, len(np.intersect1d(s, probe))) for i, s in enumerate(sets) if len(np.intersect1d(s, probe)) >= needed[i]}
     assert set(ngramjoin.PrefixTree(sets).overlaps(probe, needed)) == want
 
 
+def test_sets_of_real_words_whatever_the_hashes_say(docs, monkeypatch):
+    texts = [(r["text"] or "").encode() for r in docs.limit(60).collect()] + [b"", b"one", b"One", b"one two", b"a b c a b c a b c", b"a b c a b c"]
+    for size in (1, 2, 3, 5):
+        plain = [frozenset(tuple(w[j : j + size]) for j in range(len(w) - size + 1)) if len(w := t.lower().split()) >= size else frozenset([tuple(w)] if w else []) for t in texts]
+        for collide in (False, True):  # with hashes that are all alike the sets stay the same
+            with monkeypatch.context() as m:
+                if collide:
+                    m.setattr(ngramjoin, "mix", lambda x: x * np.uint64(0))
+                got = [set(s.tolist()) for s in ngramjoin.exact_sets(texts, size)]
+            for i in range(len(texts)):
+                for j in range(i):
+                    assert len(got[i] & got[j]) == len(plain[i] & plain[j])
+            assert [len(s) for s in got] == [len(s) for s in plain]
+
+
+def test_groups_go_on_through_shared_ids(spark):
+    x, y = "a text that two of the documents hold", "quite another text of the second one"
+    df = spark.createDataFrame([(3, x), (5, x), (5, y), (9, y + " here"), (7, y)], "doc_id long, text string")
+    assert {(r["doc_id"], r["component_id"]) for r in ngramjoin.link_documents(df).collect()} == {(3, 3), (5, 3), (7, 3), (9, 9)}
+
+
+def test_no_text_is_lost_to_a_shared_id(spark):
+    x, y, z = "a text that two of the documents hold", "quite another text of the second one", "and a third that has nothing in common"
+    df = spark.createDataFrame([(3, x, 1), (5, x, 2), (5, y, 3), (5, y, 3), (5, y, 4), (6, z, 5), (6, "", 6), (6, None, 7), (None, x, 8)], "doc_id long, text string, rest int")
+    for _ in range(2):
+        kept = [tuple(r) for r in ngramjoin.one_per_group(df.repartition(4)).collect()]
+        assert Counter(r[:2] for r in kept) == Counter([(3, x), (5, y), (6, z), (6, ""), (6, None), (None, x)])
+
+
+def test_a_set_with_many_candidates_meets_them_in_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(ngramjoin, "PROBE_ROWS", 7)
+    rows = near_copies(90)
+    want = plain_groups(rows, 3, 90, 100)
+    got = ngramjoin.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: c for i, (_, c) in want.items()}
+
+
 # -- 7 ----------------------------------------------------------------------
 def test_token_files_round_trip(spark, docs, odd, nothing):
     from tokenizers import Tokenizer
