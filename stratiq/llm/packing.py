@@ -104,8 +104,12 @@ def pack_documents(docs: DataFrame, *, capacity: int = CAPACITY, block_rows: int
     Returns one row per piece: the id, ``piece`` (from 0), ``size``,
     ``cluster``, ``bin_id`` and ``bin_offset`` (bytes into the bin).  Repeated
     rows are packed one by one, in different bins, as they are one cluster.
-    The block of a piece depends on its content alone and blocks that exceed
-    twice ``block_rows`` are packed in sections, so memory is bounded.
+    Of pieces of equal size the smaller id comes first.  The block of a piece
+    depends on its content and the number of blocks alone; blocks that exceed
+    twice ``block_rows`` are packed in sections of exactly so many pieces, so
+    memory is bounded.  A text of any length is cut into pieces; only sizes and
+    hashes are read on.  An empty table gives no rows; columns other than the
+    three named are not read.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     cluster = F.col(cluster_col).cast("long") if cluster_col else F.xxhash64(text)
@@ -137,10 +141,14 @@ def pack_documents(docs: DataFrame, *, capacity: int = CAPACITY, block_rows: int
             held, n = [], 0
 
         for batch in batches:
-            held.append(batch)
-            n += batch.num_rows
-            if n >= 2 * block_rows:
-                yield from flush()
+            at = 0
+            while at < batch.num_rows:  # sections end at fixed row numbers, whatever the batches
+                part = batch.slice(at, 2 * block_rows - n)
+                held.append(part)
+                n += part.num_rows
+                at += part.num_rows
+                if n == 2 * block_rows:
+                    yield from flush()
         yield from flush()
 
     return dealt.mapInArrow(pack, SCHEMA).withColumnRenamed("doc_id", id_col)

@@ -71,7 +71,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = rotate_perspectives(table(spark, sf_dir, "conversations"))
     mask = F.array_join(F.transform("mask", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string"))), ",")
-    return made.select("conv_id", "speaker", "part", "n_turns", F.length("rendered").cast("long").alias("n_chars"), F.sha2(F.col("rendered").cast("binary"), 256).alias("rendered_sha256"), mask.alias("mask"))
+    return made.select("conv_id", "speaker", "part", "section", "n_turns", F.length("rendered").cast("long").alias("n_chars"), F.sha2(F.col("rendered").cast("binary"), 256).alias("rendered_sha256"), mask.alias("mask"))
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,11 +130,14 @@ r AS (SELECT doc_id AS u, doc_id AS v FROM documents UNION SELECT r.u, e.v FROM
 q AS (SELECT doc_id, array_to_string(ws, ' ') AS k FROM w WHERE len(ws) > 0), k AS (SELECT k, min(doc_id) AS class_id FROM q GROUP BY 1)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, coalesce(k.class_id, d.doc_id) AS class_id FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT u, min(v) AS component_id FROM r GROUP BY 1) m ON m.u = d.doc_id
 LEFT JOIN q ON q.doc_id = d.doc_id LEFT JOIN k ON k.k = q.k""",
-    "op8_chat_rotation": """WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+    "op8_chat_rotation": """WITH d AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, count(*) AS n FROM conversations GROUP BY ALL),
+c AS (SELECT conv_id, turn, role, text, unnest(generate_series(1, CASE WHEN turn IS NULL THEN n ELSE 1 END)) AS copy,
+CASE WHEN turn IS NULL THEN 144115188075855855 + instr('0123456789abcdef', substr(md5(role || ' ' || text), 1, 1)) - 1 ELSE (turn - (turn % 64 + 64) % 64) // 64 END AS part FROM d),
+t AS (SELECT *, row_number() OVER (PARTITION BY conv_id, part ORDER BY turn, role, text) AS k FROM c),
 s AS (SELECT DISTINCT conv_id, role AS speaker FROM conversations WHERE role IS NOT NULL AND role NOT IN ('', 'system')),
-b AS (SELECT t.conv_id, speaker, (coalesce(turn, 9223372036854775807) - coalesce(turn, 9223372036854775807) % 64) // 64 AS part, coalesce(turn, 9223372036854775807) AS turn, role, text,
+b AS (SELECT t.conv_id, speaker, CAST(part AS BIGINT) AS part, CAST((k - 1) // 256 AS BIGINT) AS section, k, role,
 '<|im_start|>' || CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN role WHEN role = '' THEN 'user' ELSE 'user name=' || role END || chr(10) AS head, text || '<|im_end|>' || chr(10) AS body FROM t JOIN s ON s.conv_id IS NOT DISTINCT FROM t.conv_id),
-o AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker, part ORDER BY turn, role, text) AS upto FROM b)
-SELECT conv_id, speaker, part, count(*) AS n_turns, CAST(sum(length(head) + length(body)) AS BIGINT) AS n_chars, sha256(string_agg(head || body, '' ORDER BY turn, role, text)) AS rendered_sha256,
-coalesce(string_agg(CAST(upto - length(body) AS BIGINT) || ':' || CAST(upto AS BIGINT), ',' ORDER BY turn, role, text) FILTER (WHERE role = speaker), '') AS mask FROM o GROUP BY conv_id, speaker, part""",
+o AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker, part, section ORDER BY k) AS upto FROM b)
+SELECT conv_id, speaker, part, section, count(*) AS n_turns, CAST(sum(length(head) + length(body)) AS BIGINT) AS n_chars, sha256(string_agg(head || body, '' ORDER BY k)) AS rendered_sha256,
+coalesce(string_agg(CAST(upto - length(body) AS BIGINT) || ':' || CAST(upto AS BIGINT), ',' ORDER BY k) FILTER (WHERE role = speaker), '') AS mask FROM o GROUP BY conv_id, speaker, part, section""",
 }

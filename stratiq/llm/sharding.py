@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 CELL_BITS = 14
 VNODES = 64
+COPIES = 1024  # of one repeated row that stand in one array
 
 
 def ring_points(n_shards: int, vnodes: int, cell_bits: int) -> list[tuple[int, int]]:
@@ -101,8 +102,9 @@ def shard_rows(df: DataFrame, n_shards: int, *, id_col: str = "doc_id", text_col
 
     Null texts count as empty (size 16).  Rows whose id is null hash by size
     and checksum.  Identical rows are interchangeable: they are counted before
-    any shuffle and each copy gets a slot of its own.  An empty input gives an
-    empty result; extra columns of ``df`` are not read.
+    any shuffle and each copy gets a slot of its own, written out
+    piece by piece.  Of texts of any length only size and checksum are read on.  An
+    empty input gives an empty result; extra columns of ``df`` are not read.
     """
     if n_shards < 1 or slack < 0:
         raise ValueError("n_shards must be positive and slack not negative")
@@ -120,6 +122,7 @@ def shard_rows(df: DataFrame, n_shards: int, *, id_col: str = "doc_id", text_col
     copies = rows.groupBy("__cell", "__spot", "__id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy("__cell").orderBy("__spot", "__id", "size", "text_crc32").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = copies.withColumn("__first", F.sum("__n").over(before) - F.col("__n"))
-    each = ranked.select("*", F.explode(F.sequence(F.col("__first"), F.col("__first") + F.col("__n") - 1)).alias("__rank"))
+    runs = ranked.withColumn("__from", F.explode(F.expr(f"sequence(__first, __first + __n - 1, {COPIES})")))
+    each = runs.select("*", F.explode(F.expr(f"sequence(__from, least(__from + {COPIES}, __first + __n) - 1)")).alias("__rank"))
     found = each.join(F.broadcast(seg), (F.col("__cell") == F.col("cell")) & (F.col("__rank") >= F.col("start")) & (F.col("__rank") < F.col("end")))
     return found.select(F.col("__id").alias(id_col), "size", "text_crc32", "shard", (F.col("base") + F.col("__rank") - F.col("start")).alias("slot"))

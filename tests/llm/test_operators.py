@@ -64,6 +64,30 @@ def test_shards_of_nothing(nothing):
     assert sharding.shard_rows(nothing, 3).count() == 0
 
 
+def test_shards_by_a_plain_walk_round_the_ring(spark, docs, odd):
+    df = odd.select("doc_id", "text").unionByName(docs.select("doc_id", "text")).where("doc_id is not null")
+    n_shards, bits = 7, 10
+    points = sharding.ring_points(n_shards, 16, bits)
+    spots = df.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).alias("n"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("c"), F.xxhash64("doc_id").alias("h")).collect()
+    rows = sorted(((r["h"] % (1 << 64)) >> (64 - bits), r["h"], r["doc_id"], r["n"], r["c"]) for r in spots)
+    room = sharding.capacities(len(rows), n_shards, 0.0)
+    want, late = Counter(), []
+    for cell, _, i, _, c in rows:  # first every row to its own shard, then what overflows on clockwise
+        at = next((k for k, (p, _) in enumerate(points) if p >= cell), 0)
+        if room[points[at][1]]:
+            room[points[at][1]] -= 1
+            want[i, c, points[at][1]] += 1
+        else:
+            late.append((at, i, c))
+    for at, i, c in late:
+        while not room[points[at % len(points)][1]]:
+            at += 1
+        room[points[at % len(points)][1]] -= 1
+        want[i, c, points[at % len(points)][1]] += 1
+    got = Counter((r["doc_id"], r["text_crc32"], r["shard"]) for r in sharding.shard_rows(df, n_shards, vnodes=16, cell_bits=bits).collect())
+    assert got == want
+
+
 # -- 2 ----------------------------------------------------------------------
 def plain_spans(text):
     rules = [("assign", r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 8), ("access", "AKIA[A-Z0-9]+", 0, 16), ("hex", "[0-9a-f]+", 0, 32)]
@@ -164,6 +188,37 @@ def test_best_fit_takes_the_tightest_compatible_bin():
     assert [bins.place(7, 1, 0), bins.place(6, 2, 0), bins.place(3, 1, 0), bins.place(3, 4, 0), bins.place(1, 2, 0)] == [(0, 0), (1, 0), (1, 6), (0, 7), (2, 0)]
 
 
+def test_packing_is_a_plain_best_fit_whatever_the_batches():
+    rng = np.random.default_rng(21)
+    for _ in range(20):
+        n, capacity = int(rng.integers(1, 300)), int(rng.integers(8, 60))
+        sizes, sources, clusters = rng.integers(1, capacity + 1, n), rng.integers(0, 9, n), rng.integers(0, 40, n)
+        bins = []  # used, sources, clusters; a plain search of all bins for the least residual that fits
+        got = packing.pack_block(sizes, sources, clusters, capacity)
+        for k in range(n):
+            fits = [b for b in bins if capacity - b[0] >= sizes[k] and not (sources[k] and sources[k] in b[1]) and clusters[k] not in b[2]]
+            chosen = int(got[0][k])
+            if not fits:
+                assert chosen == len(bins) and got[1][k] == 0
+                bins.append([0, set(), set()])
+            else:
+                assert bins[chosen] in fits and bins[chosen][0] == max(b[0] for b in fits) == got[1][k]
+            bins[chosen][0] += int(sizes[k])
+            bins[chosen][1].add(int(sources[k]))
+            bins[chosen][2].add(int(clusters[k]))
+
+
+def test_packing_does_not_change_with_the_batches(spark, docs):
+    made = []
+    for batch in ("10000", "37"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            made.append(sorted(tuple(r) for r in packing.pack_documents(docs, capacity=512, block_rows=50).collect()))
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert made[0] == made[1]
+
+
 # -- 5 ----------------------------------------------------------------------
 def test_toxicity_separates_held_out_rows(spark):
     rng = np.random.default_rng(5)
@@ -369,7 +424,7 @@ def test_token_files_round_trip(spark, docs, odd, nothing):
 
 # -- 8 ----------------------------------------------------------------------
 def test_rotation(spark):
-    rows = [(1, 0, "system", "be kind"), (1, 1, "ana", "hi"), (1, 2, "bob", "hö"), (1, 2, "bob", "hö"), (1, 70, "ana", None), (1, None, "bob", "late"), (2, 0, "system", "x"), (3, 0, None, "q"), (3, 1, "ana", ""), (None, 0, "eve", "z")]
+    rows = [(1, 0, "system", "be kind"), (1, 1, "ana", "hi"), (1, 2, "bob", "hö"), (1, 2, "bob", "hö"), (1, 70, "ana", None), (1, None, "bob", "late"), (1, None, "bob", "late"), (2, 0, "system", "x"), (3, 0, None, "q"), (3, 1, "ana", ""), (None, 0, "eve", "z")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("part", F.lit("clash"))
     got = {(r["conv_id"], r["speaker"], r["part"]): (r["rendered"], [(m["start"], m["end"]) for m in r["mask"]]) for r in rotate_perspectives(df).collect()}
     assert {k[:2] for k in got} == {(1, "ana"), (1, "bob"), (3, "ana"), (None, "eve")}
@@ -378,9 +433,21 @@ def test_rotation(spark):
     assert [text[a:b] for a, b in mask] == ["hi<|im_end|>\n"]
     assert got[1, "bob", 1] == ("<|im_start|>user name=ana\n<|im_end|>\n", [])
     assert len([k for k in got if k[:2] == (1, "bob")]) == 3
+    assert [v for k, v in got.items() if k[1] == "bob" and k[2] > 1] == [("<|im_start|>assistant\nlate<|im_end|>\n" * 2, [(22, 37), (59, 74)])]
     assert rotate_perspectives(df.where("false")).count() == 0
 
 
+def test_rotation_in_sections(spark):
+    rows = [(1, 5, "ana", f"t{i:04d}") for i in range(600)] + [(1, None, "bob", "same")] * 700 + [(2, -3, "ana", "below")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    got = [r for r in rotate_perspectives(df).collect() if r["speaker"] == "ana" and r["conv_id"] == 1]
+    assert sorted((r["section"], r["n_turns"]) for r in got if r["part"] == 0) == [(0, 256), (1, 256), (2, 88)]
+    assert sorted((r["section"], r["n_turns"]) for r in got if r["part"] > 0) == [(0, 256), (1, 256), (2, 188)]
+    whole = "".join(r["rendered"] for r in sorted(got, key=lambda r: (r["part"], r["section"])))
+    assert whole == "".join(f"<|im_start|>assistant\nt{i:04d}<|im_end|>\n" for i in range(600)) + "<|im_start|>user name=bob\nsame<|im_end|>\n" * 700
+    assert {r["part"] for r in rotate_perspectives(df).where("conv_id = 2").collect()} == {-1}
+
+
 # -- 9 ----------------------------------------------------------------------
 def test_counts_follow_edits(spark, docs, odd, nothing):
     path = tokenizer_path("byte_bpe_50k.tiktoken")
