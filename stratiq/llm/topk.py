@@ -6,7 +6,12 @@ adds the slices of all attributes, weighted by its own bits, with carry-save
 and ripple adders on whole bitmaps, which yields the bit slices of all scores
 at once.  Reading these from the most significant slice downward selects rows
 that are surely among the k best and leaves a boundary set of equal scores,
-which is resolved exactly by the smaller id.  Block results are merged by rank.
+which is resolved exactly by the smaller id.
+
+The index is written once and its blocks stay where they are: queries go to
+them in rounds, as a broadcast of ``ROUND_BYTES`` at most.  A task keeps the
+``k`` best rows of every query over all its blocks, so what is shuffled is
+``k`` rows a query and task.
 """
 
 from __future__ import annotations
@@ -18,8 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratiq.llm.common import materialise
+
 BLOCK_ROWS = 8192
-BLOCK_QUERIES = 256
+ROUND_BYTES = 32_000_000
+INDEX_FILES = 10_000
 INDEX = "block long, n long, dim long, low long, bits long, ids binary, slices binary"
 
 
@@ -29,9 +37,9 @@ def quantised(embedding: str, scale: int):
 
 
 def usable(embedding: str):
-    """Neither null nor empty, and every component a finite number."""
+    """Not null, and every component a finite number."""
     bad = F.exists(F.col(embedding), lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
-    return F.col(embedding).isNotNull() & (F.size(embedding) > 0) & ~bad
+    return F.col(embedding).isNotNull() & ~bad
 
 
 def slice_block(values: np.ndarray, low: int, bits: int) -> np.ndarray:
@@ -143,26 +151,44 @@ def search_block(ids: np.ndarray, slices: np.ndarray, low: int, query_ids: np.nd
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def top_k(vectors: DataFrame, *, k: int = 5, query_step: int = 50, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = BLOCK_ROWS) -> DataFrame:
+def best_of(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``k`` best rows of each query, of (query, row, score) from several blocks."""
+    query, row, score = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((row, -score, query))
+    query, row, score = query[order], row[order], score[order]
+    first = np.searchsorted(query, query)
+    keep = np.arange(len(query)) - first < k
+    return query[keep], row[keep], score[keep]
+
+
+def top_k(vectors: DataFrame, *, k: int = 5, query_step: int = 50, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = BLOCK_ROWS, round_bytes: int = ROUND_BYTES) -> DataFrame:
     """For every row whose id is divisible by ``query_step``: its ``k`` best
     other rows by integer inner product, ties to the smaller id.
 
     Returns ``query_id, rank, vec_id, score``.  Rows whose id or vector is
     null, or that hold a null or non-finite component, take no part; shorter
-    vectors count as padded with zeros.  A row that repeats an id is one more
-    candidate, but not for queries of that id; as a query, an id stands once,
-    with its least vector.  Rows are dealt to blocks by hash of the id, and
-    each block of queries meets each block of the index once.
+    vectors, empty ones too, count as padded with zeros.  A row that repeats
+    an id is one more candidate, but not for queries of that id; as a query, an
+    id stands once, with its least vector.  Equal rows beyond the ``k``-th
+    cannot be among the ``k`` best and are counted, not sent.  An empty table
+    gives no rows; further columns are not read.  Scores that may leave the
+    64-bit integers raise a ``ValueError``.
     """
+    spark = vectors.sparkSession
     rows = vectors.where(usable(vector_col) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), quantised(vector_col, scale).alias("v"))
-    facts = rows.agg(F.count(F.lit(1)), F.max(F.size("v")), F.min(F.array_min("v")), F.max(F.array_max("v"))).head()
-    total, dim, low, high = facts
+    asks = F.col("id") % query_step == 0
+    facts = rows.agg(F.count(F.lit(1)), F.max(F.size("v")), F.min(F.array_min("v")), F.max(F.array_max("v")), F.count_if(asks)).head()
+    total, dim, low, high, n_queries = facts
     schema = "query_id long, vec_id long, score long"
-    if not total:
-        return vectors.sparkSession.createDataFrame([], schema).select("query_id", F.lit(0).alias("rank"), "vec_id", "score")
-    low, high = min(low, 0), max(high, 0)
+    if not n_queries:
+        return spark.createDataFrame([], schema).select("query_id", F.lit(0).alias("rank"), "vec_id", "score")
+    dim, low, high = max(dim, 1), min(low or 0, 0), max(high or 0, 0)
+    if dim * max(-low, high) ** 2 >= 1 << 63:
+        raise ValueError(f"components of {max(-low, high)} in {dim} dimensions: scores may not fit 64 bits")
     bits = max(1, int(high - low).bit_length())
     blocks = -(-total // block_rows)
+    parts = max(1, spark.sparkContext.defaultParallelism // blocks)  # with few blocks, tasks share out the queries
+    rounds = -(-n_queries * dim * 8 // round_bytes)
 
     def matrix(column: pa.ChunkedArray, n: int) -> np.ndarray:
         lists = column.combine_chunks()
@@ -177,22 +203,37 @@ def top_k(vectors: DataFrame, *, k: int = 5, query_step: int = 50, scale: int =
         ids = block["id"].to_numpy().astype("<i8")
         return pa.table({"block": [block["block"][0].as_py()], "n": [n], "dim": [dim], "low": [low], "bits": [bits], "ids": [ids.tobytes()], "slices": [slice_block(matrix(block["v"], n), low, bits).tobytes()]})
 
-    index = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks))).groupBy("block").applyInArrow(pack, INDEX)
-    queries = rows.where(F.col("id") % query_step == 0).groupBy("id").agg(F.min("v").alias("v"))
-    n_groups = max(1, -(-total // (query_step * BLOCK_QUERIES)))
-    queries = queries.withColumn("group", F.pmod(F.xxhash64("id"), F.lit(n_groups))).groupBy("group").agg(F.collect_list(F.struct("id", "v")).alias("queries"))
-    pairs = index.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_groups - 1).cast("long")))).join(queries, "group").select("n", "ids", "slices", "queries")
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                n, ids, slices, asked = (batch.column(c)[i] for c in range(4))
-                held = np.frombuffer(slices.as_buffer(), "<u8").reshape(dim, bits, -1)
-                query_ids = asked.values.field("id").to_numpy()
-                lists = asked.values.field("v")
-                found = search_block(np.frombuffer(ids.as_buffer(), "<i8")[: n.as_py()], held, low, query_ids, matrix(pa.chunked_array([lists]), len(query_ids)), k)
+    copies = rows.groupBy("id", "v").agg(F.count(F.lit(1)).alias("n"))
+    dealt = copies.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks))).select("block", "id", "v", F.explode(F.expr(f"sequence(1, least(n, {k}))")).alias("copy"))
+    index = dealt.drop("copy").groupBy("block").applyInArrow(pack, INDEX)
+    index = index.select("n", "ids", "slices", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    index = materialise(index.repartition(min(blocks * parts, INDEX_FILES)), "index")
+    queries = rows.where(asks).groupBy("id").agg(F.min("v").alias("v"))
+    if rounds > 1:
+        queries = materialise(queries, "queries")
+
+    def one_round(r: int) -> DataFrame:
+        some = queries if rounds == 1 else queries.where(F.pmod(F.xxhash64("id"), F.lit(rounds)) == r)
+        asked = some.orderBy("id").toArrow()  # about round_bytes
+        held = spark.sparkContext.broadcast((asked["id"].to_numpy().astype("<i8"), matrix(asked["v"], asked.num_rows)))
+
+        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ids, values = held.value
+            best: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    n, own, slices, part = (batch.column(c)[i] for c in range(4))
+                    part = part.as_py()
+                    block = np.frombuffer(slices.as_buffer(), "<u8").reshape(dim, bits, -1)
+                    found = search_block(np.frombuffer(own.as_buffer(), "<i8")[: n.as_py()], block, low, ids[part::parts], values[part::parts], k)
+                    best[part] = best_of([best[part], found], k) if part in best else found
+            for found in best.values():
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["query_id", "vec_id", "score"])
 
-    found = pairs.repartition(F.xxhash64("ids"), "n").mapInArrow(search, schema)
+        return index.mapInArrow(search, schema)
+
+    found = one_round(0)
+    for r in range(1, rounds):
+        found = found.unionByName(one_round(r))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

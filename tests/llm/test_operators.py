@@ -134,12 +134,15 @@ def test_redaction(spark, odd):
 
 # -- 3 ----------------------------------------------------------------------
 def plain_top(rows, k, step):
-    good = {i: np.floor(256 * np.array(v, float)).astype(int) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)}
-    out = set()
-    for q in good:
-        if q % step == 0:
-            best = sorted((-int(np.dot(good[q], v)), i) for i, v in good.items() if i != q)[:k]
-            out |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(best)}
+    good = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    queries = {}
+    for i, v in good:
+        if i % step == 0:
+            queries[i] = min(queries.get(i, v), v)
+    out = Counter()
+    for q, own in queries.items():
+        best = sorted((-sum(a * b for a, b in zip(own, v, strict=False)), i) for i, v in good if i != q)[:k]
+        out.update((q, r + 1, i, -s) for r, (s, i) in enumerate(best))
     return out
 
 
@@ -147,13 +150,20 @@ def test_top_k(spark):
     rng = np.random.default_rng(3)
     rows = [(i, [float(x) for x in np.float32(rng.normal(size=16) / 3)]) for i in range(400)]
     rows += [(i, rows[7][1]) for i in range(400, 480)]  # many ties
-    rows += [(500, None), (501, []), (502, [1.0] * 15 + [None]), (503, [float("nan")] * 16), (504, [float("inf")] * 16), (None, rows[0][1]), (550, [0.0] * 16)]
+    rows += [(500, None), (501, []), (510, []), (502, [1.0] * 15 + [None]), (503, [float("nan")] * 16), (504, [float("inf")] * 16), (None, rows[0][1]), (550, [0.0] * 16)]
+    rows += [(600, [3.0] * 16)] * 9 + [(600, [2.0] * 7)] * 2  # repeated rows and ids
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("rank", F.lit("clash")).repartition(4)
-    got = {tuple(r) for r in topk.top_k(df, query_step=10, block_rows=128).select("query_id", "rank", "vec_id", "score").collect()}
-    assert got == plain_top(rows, 5, 10)
+    for round_bytes in (topk.ROUND_BYTES, 2000):
+        got = Counter(tuple(r) for r in topk.top_k(df, query_step=10, block_rows=128, round_bytes=round_bytes).select("query_id", "rank", "vec_id", "score").collect())
+        assert got == plain_top(rows, 5, 10)
     assert topk.top_k(df.where("false")).count() == 0
     two = df.where("vec_id in (0, 1)")
     assert {tuple(r)[:3] for r in topk.top_k(two, query_step=10).collect()} == {(0, 1, 1)}
+    few = [(50, [1.0]), (1, []), (2, [-1.0]), (100, [])]
+    got = Counter(tuple(r) for r in topk.top_k(spark.createDataFrame(few, "vec_id long, embedding array<float>")).collect())
+    assert got == plain_top(few, 5, 50)
+    with pytest.raises(ValueError):
+        topk.top_k(spark.createDataFrame([(50, [1e30]), (1, [1.0])], "vec_id long, embedding array<double>"))
 
 
 # -- 4 ----------------------------------------------------------------------
