@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -31,13 +32,16 @@ def session(app: str = "stratiq", **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where the
-    session names none."""
+    """The folder of ``spark.checkpoint.dir``.  Where the session names none, a
+    temporary one with a local master; elsewhere executors could not read what
+    others write there, and that is an error."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if not current.isDefined():
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         made = tempfile.mkdtemp(prefix="stratiq-")
         atexit.register(shutil.rmtree, made, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(f"file://{made}")
@@ -45,11 +49,27 @@ def shared_dir(spark: SparkSession) -> str:
     return current.get().rstrip("/")
 
 
+_ROOTS: set[str] = set()
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared folder, in one of this application's
+    own that is removed when the driver's JVM ends."""
+    root = f"{shared_dir(spark)}/stratiq-{spark.sparkContext.applicationId}"
+    if root not in _ROOTS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _ROOTS.add(root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back: later steps start from
     the files, also after the executors that made them are gone."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/settled-{uuid.uuid4().hex}"
+    path = scratch(spark, "settled")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
