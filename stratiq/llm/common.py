@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from stratiq.session import shared_dir
+from stratiq.session import scratch
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder name under the folder that all executors share."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+scratch_path = scratch
 
 
 def materialise(df: DataFrame, name: str, few: bool = False) -> DataFrame:
