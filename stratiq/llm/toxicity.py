@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from stratiq.llm.common import slices
 
-WINDOW = 16  # bytes of running words
+WINDOW = 20  # bytes of running words
 THRESHOLD = 0.3
 #: zstd takes no match that starts in a block's last bytes and stores small
 #: blocks raw: a known head and an unknown tail around each window see to it
@@ -43,7 +43,7 @@ HEAD = bytes(range(1, 9)) + bytes(range(14, 22))
 TAIL = b" " + bytes(range(22, 31))
 SPREAD = 10  # differences are clipped to +-SPREAD
 LENGTHS = (5, 6, 7, 8)  # bytes of a toxic string
-FLOORS = (24.0, 48.0, 128.0)  # evidence a toxic string needs, chosen between on the training rows
+FLOORS = (24.0, 64.0, 192.0)  # evidence a toxic string needs, chosen between on the training rows
 FOLDS = 2
 VALIDATED = 3  # all toxic rows and one in so many ordinary ones choose the evidence
 BASE_BYTES = 8192
@@ -76,7 +76,7 @@ def windows(words: list[bytes], size: int = WINDOW) -> list[bytes]:
 
 
 def _compressor(content: bytes):
-    params = zstandard.ZstdCompressionParameters(window_log=17, chain_log=14, hash_log=14, search_log=5, min_match=3, target_length=32, strategy=zstandard.STRATEGY_BTOPT, write_content_size=0, write_checksum=0, write_dict_id=0)
+    params = zstandard.ZstdCompressionParameters(window_log=17, chain_log=14, hash_log=14, search_log=5, min_match=3, target_length=32, strategy=zstandard.STRATEGY_LAZY2, write_content_size=0, write_checksum=0, write_dict_id=0)
     trained = zstandard.ZstdCompressionDict(content + HEAD, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     trained.precompute_compress(compression_params=params)
     return zstandard.ZstdCompressor(dict_data=trained, compression_params=params).compress
@@ -320,7 +320,7 @@ def sample(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, la
     return texts[1], texts[0]
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_toxic: int = 1500, max_ordinary: int = 4000, max_bytes: int = 10_000_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_toxic: int = 2000, max_ordinary: int = 4500, max_bytes: int = 12_000_000) -> Model:
     """Train on a bounded sample of the labelled rows whose crc32(id) mod 4 is not 2.
 
     The sample is the ``max_toxic`` and ``max_ordinary`` ids with the smallest

@@ -17,15 +17,15 @@ SF = "/root/testdata/sf0.1"
 
 def plain_toxic(text, model):
     """The score by plainly compressing every window, without the operator's code."""
-    params = zstandard.ZstdCompressionParameters(window_log=17, chain_log=14, hash_log=14, search_log=5, min_match=3, target_length=32, strategy=zstandard.STRATEGY_BTOPT, write_content_size=0, write_checksum=0, write_dict_id=0)
+    params = zstandard.ZstdCompressionParameters(window_log=17, chain_log=14, hash_log=14, search_log=5, min_match=3, target_length=32, strategy=zstandard.STRATEGY_LAZY2, write_content_size=0, write_checksum=0, write_dict_id=0)
     packers = [zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(c + toxicity.HEAD, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=params) for c in (model.ordinary, model.toxic)]
     pieces, held = [], b""
     for word in (text or "").encode().lower().split():
-        if held and len(held) + 1 + len(word) > 16:
+        if held and len(held) + 1 + len(word) > 20:
             pieces.append(held)
             held = b""
-        if len(word) > 16:
-            pieces += [word[i : i + 16] for i in range(0, len(word) - 8, 8)]
+        if len(word) > 20:
+            pieces += [word[i : i + 20] for i in range(0, len(word) - 10, 10)]
         else:
             held = held + b" " + word if held else word
     pieces += [held] if held else []
@@ -56,6 +56,19 @@ def plain_contaminated(text, items):
     return False
 
 
+def planted_toxic():
+    rng = np.random.default_rng(9)
+    syllables = ["ban", "to", "ri", "mek", "sul", "ona", "pe", "gar"]
+    out = []
+    for i in range(300):
+        words = ["".join(rng.choice(syllables, 3)) for _ in range(50)]
+        if bad := i % 3 == 0:
+            for at in rng.choice(50, 4, replace=False):
+                words[at] = "vilezug" + rng.choice(syllables)
+        out.append((i, " ".join(words), bad))
+    return out
+
+
 @pytest.fixture(scope="module")
 def documents(spark):
     """Some hundred documents, near copies, benchmark passages and awkward rows, with clashing columns."""
@@ -64,17 +77,29 @@ def documents(spark):
     passage = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").head()["text"]
     rows = [(5000, None), (5001, ""), (5002, " \n"), (5003, passage), (5004, "before " + passage + " after"), (None, "loose text"), (None, passage), (5005, "token=abcdefghijk only"), (5006, "a text that stands twice, in full"), (5006, "a text that stands twice, in full"), (5006, "another text of that id")]
     rows += [(6000 + i, t) for i, t in near_copies(30)]
+    rows += [(7000 + i, t) for i, t, _ in planted_toxic()]
     odd = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], docs.schema)
     every = docs.unionByName(odd).withColumn("score", F.lit(7.5)).withColumn("rep", F.lit("r")).withColumn("spans", F.lit("s")).withColumn("similarity", F.lit(1)).withColumn("cluster", F.lit(2))
     return spark.createDataFrame(every.collect(), every.schema).repartition(6)
 
 
-def test_stages(spark, documents):
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """Tables whose labels cover the planted documents too."""
+    root = str(tmp_path_factory.mktemp("tables"))
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic")
+    planted = spark.createDataFrame([(7000 + i, int(bad)) for i, _, bad in planted_toxic()], labels.schema)
+    labels.where("doc_id < 400").unionByName(planted).write.parquet(f"{root}/labels.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{root}/benchmark.parquet")
+    return root
+
+
+def test_stages(spark, documents, folder):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["toxicity", "near_copies", "decontamination", "secrets", "packing"]
     docs, seen = documents, {}
     for name, stage in corpus_pipeline.STAGES:
-        made = stage(spark, docs, SF)
+        made = stage(spark, docs, folder)
         if name != "packing":
             assert made.columns == docs.columns and made.where("score <> 7.5 or rep <> 'r'").count() == 0
         rows = made.collect()
@@ -83,9 +108,10 @@ def test_stages(spark, documents):
     pairs = lambda rows: Counter((r["doc_id"], r["text"]) for r in rows)
 
     before, after = map(pairs, seen["toxicity"])
-    model = toxicity.fit(documents, spark.read.parquet(f"{SF}/labels.parquet"))
+    model = toxicity.fit(documents, spark.read.parquet(f"{folder}/labels.parquet"))
     assert after == Counter({k: n for k, n in before.items() if plain_toxic(k[1], model) < 0.3})
-    assert before != after and (5000, None) in after
+    gone = {i for i, _ in before - after}
+    assert len(gone & {7000 + i for i, _, bad in planted_toxic() if bad}) > 90 and len(gone & {7000 + i for i, _, bad in planted_toxic() if not bad}) < 10
 
     before, after = map(pairs, seen["near_copies"])
     keys = {k: zlib.crc32(repr(k).encode()) for k in before if k[0] is not None}
