@@ -113,11 +113,16 @@ def near(a: Column, b: Column, most: int) -> Column:
     return F.levenshtein(a, b, most).between(0, most)
 
 
-def deletions(text: Column) -> Column:
-    """The text and all texts with one character left out: strings within edit
-    distance one share one of these."""
-    cut = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), lambda i: F.concat(F.substr(text, F.lit(1), i - 1), F.substr(text, i + 1)))
-    return F.array_distinct(F.concat(F.array(text), cut))
+def deletions(text: Column, most: int = 1) -> Column:
+    """The text and all texts with up to ``most`` characters left out: strings
+    within that edit distance share one of these."""
+    def cuts(one: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(one), F.lit(1))), lambda i: F.concat(F.substr(one, F.lit(1), i - 1), F.substr(one, i + 1)))
+
+    found = F.array(text)
+    for _ in range(most):
+        found = F.array_distinct(F.concat(found, F.flatten(F.transform(found, cuts))))
+    return found
 
 
 def key_tokens(key: Column) -> Column:

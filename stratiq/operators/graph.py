@@ -12,24 +12,20 @@ from pyspark.sql import functions as F
 from stratiq.session import settled
 
 
-def _mark(df: DataFrame, *cols: str) -> tuple:
-    return tuple(df.select(F.count(F.lit(1)), F.sum(F.xxhash64(*cols) % 1_000_003)).head())
-
-
 def closure(edges: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
     """All pairs (``src``, ``dst``) with a path of one edge or more, within each
     scope.  A node reaches itself only over a cycle.  Null ends are no edges."""
     cols = (*scope, "src", "dst")
     reach = settled(edges.where("src is not null and dst is not null").select(*cols).distinct())
-    mark = _mark(reach, *cols)
-    while mark[0]:
+    n = reach.count()
+    while n:
         left, right = reach.withColumnRenamed("dst", "via"), reach.withColumnRenamed("src", "via")
         longer = left.join(right, [*scope, "via"]).select(*cols)
         reach = settled(reach.unionByName(longer).distinct())
-        now = _mark(reach, *cols)
-        if now == mark:
+        now = reach.count()
+        if now == n:  # pairs are only ever added
             break
-        mark = now
+        n = now
     return reach
 
 
@@ -38,10 +34,28 @@ def ancestors(edges: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
     return closure(edges, scope).withColumnRenamed("src", "node").withColumnRenamed("dst", "ancestor")
 
 
+def _peeled(edges: DataFrame, scope: tuple[str, ...]) -> DataFrame:
+    """Edges without those that start where none ends, or end where none starts,
+    round by round while at least a tenth of them go."""
+    cols = (*scope, "src", "dst")
+    left = settled(edges.where("src is not null and dst is not null").select(*cols).distinct())
+    n = left.count()
+    while n:
+        starts = left.select(*scope, F.col("src").alias("dst")).distinct()
+        ends = left.select(*scope, F.col("dst").alias("src")).distinct()
+        left = settled(left.join(starts, [*scope, "dst"], "left_semi").join(ends, [*scope, "src"], "left_semi").select(*cols))
+        now = left.count()
+        if now > 0.9 * n:
+            break
+        n = now
+    return left
+
+
 def cycle_members(edges: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
     """Nodes on a directed cycle, with ``cycle``: the least node of their cycle's
-    strongly connected part, its name."""
-    reach = closure(edges, scope)
+    strongly connected part, its name.  Nodes without an edge in or out are
+    peeled off first, so that paths are only followed where cycles may be."""
+    reach = closure(_peeled(edges, scope), scope)
     on = reach.where("src = dst").select(*scope, F.col("src").alias("node"))
     back = reach.withColumnRenamed("src", "y").withColumnRenamed("dst", "x")
     mutual = reach.withColumnRenamed("src", "x").withColumnRenamed("dst", "y").join(back, [*scope, "x", "y"])
@@ -81,13 +95,14 @@ def components(links: DataFrame) -> DataFrame:
     """(``node``, ``component``) of undirected links ``u``, ``v``; a component is
     named by its least node.  Alternating large-star and small-star steps."""
     links = settled(links.where("u <> v").select("u", "v").distinct())
-    mark = _mark(links, "u", "v")
-    while mark[0]:
-        links = settled(_small_star(_large_star(links)))
-        now = _mark(links, "u", "v")
-        if now == mark:
+    n = links.count()
+    while n:
+        made = settled(_small_star(_large_star(links)))
+        now = made.count()
+        same = now == n and made.join(links, ["u", "v"], "left_anti").isEmpty()
+        links, n = made, now
+        if same:
             break
-        mark = now
     own = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(own)
 
@@ -97,14 +112,11 @@ def depths(parents: DataFrame) -> DataFrame:
     with a null parent.  Pointer doubling; nodes below a cycle have no root and
     are left out."""
     state = settled(parents.select("node", F.coalesce("parent", "node").alias("to"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth")))
-    mark = _mark(state, "node", "to")
-    for _ in range(mark[0].bit_length() + 1):  # pointers double; more rounds would only turn in cycles
+    for _ in range(state.count().bit_length() + 1):  # pointers double; more rounds would only turn in cycles
         up = state.select(F.col("node").alias("to"), F.col("to").alias("to2"), F.col("depth").alias("d2"))
-        state = settled(state.join(up, "to").select("node", F.col("to2").alias("to"), (F.col("depth") + F.col("d2")).alias("depth")))
-        now = _mark(state, "node", "to")
-        if now == mark:
+        state = settled(state.join(up, "to").select("node", F.col("to2").alias("to"), (F.col("depth") + F.col("d2")).alias("depth"), (F.col("to") != F.col("to2")).alias("moved")))
+        if state.where("moved").isEmpty():
             break
-        mark = now
     roots = parents.where("parent is null").select(F.col("node").alias("to"))
     return state.join(roots, "to").select("node", F.col("to").alias("root"), "depth")
 
@@ -113,9 +125,18 @@ def pointer_ends(pointers: DataFrame) -> DataFrame:
     """Where chains of (``node``, ``target``) end: (``node``, ``last``, ``circular``).
     The last target is one that points nowhere; a chain that comes back to a
     node it has passed is circular and has no last target."""
-    reach = closure(pointers.select(F.col("node").alias("src"), F.col("target").alias("dst")))
-    onward = pointers.select(F.col("node").alias("dst"))
-    ends = reach.join(onward, "dst", "left_anti").groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("last"))
+    onward = pointers.select(F.col("node").alias("last")).distinct()
+    if pointers.groupBy("node").count().where("count > 1").isEmpty():  # one target each: pointers double
+        state = settled(pointers.select("node", F.col("target").alias("last")))
+        for _ in range(state.count().bit_length() + 1):
+            up = state.select(F.col("node").alias("last"), F.col("last").alias("next"))
+            state = settled(state.join(up, "last", "left").select("node", F.coalesce("next", "last").alias("last"), F.col("next").isNotNull().alias("moved")))
+            if state.where("moved").isEmpty():
+                break
+        ends = state.select("node", "last").join(onward, "last", "left_anti")
+    else:
+        reach = closure(pointers.select(F.col("node").alias("src"), F.col("target").alias("dst")))
+        ends = reach.withColumnRenamed("dst", "last").join(onward, "last", "left_anti").groupBy(F.col("src").alias("node")).agg(F.min("last").alias("last"))
     return pointers.select("node").distinct().join(ends, "node", "left").withColumn("circular", F.col("last").isNull())
 
 

@@ -11,9 +11,9 @@ from stratiq.operators.graph import components
 
 
 def block_keys(labels: DataFrame, *, edits: int = 1, prefix: int = 5) -> DataFrame:
-    """``labels`` (``label``, ``key``, ``core``) exploded to block keys: one-deletion
-    neighbours, words of three letters or more, prefix and core."""
-    near = t.deletions(F.col("key")) if edits else F.array("key")
+    """``labels`` (``label``, ``key``, ``core``) exploded to block keys: neighbours
+    by up to ``edits`` deletions, words of three letters or more, prefix and core."""
+    near = t.deletions(F.col("key"), edits)
     words = F.filter(F.split("key", " "), lambda w: F.length(w) >= 3)
     head = F.array(F.substr("key", F.lit(1), F.lit(prefix)))
     tagged = lambda kind, arr: F.transform(arr, lambda x: F.concat(F.lit(kind), x))

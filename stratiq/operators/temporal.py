@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,20 +43,38 @@ def any_overlap(pairs: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return pairs.groupBy(*keys).agg(F.bool_or(hit).alias("overlap"))
 
 
-def overlap_join(left: DataFrame, right: DataFrame, width: float, *, key: str | None = None) -> DataFrame:
-    """Pairs of intervals (``id``, ``young``, ``old``; counted back, closed) that
-    overlap, as left_id, right_id.  Intervals are dealt to buckets of ``width``;
-    a pair is reported in the first bucket it shares, so it appears once without
-    a distinct, and no nested-loop join is needed."""
+def overlap_join(left: DataFrame, right: DataFrame, width: float | None = None, *, key: str | None = None) -> DataFrame:
+    """Pairs of intervals (``id``, ``young``, ``old``; counted back, closed, a null
+    bound open) that overlap, as left_id, right_id.  Intervals whose bounds are
+    both known and inverted overlap nothing.
+
+    An interval stands on the level at which a bucket (of ``width``, doubled
+    with each level; the mean length by default) is as long as it is, and in
+    the two buckets at most that it touches there and on each level above.  A
+    pair meets on the higher of its levels and is reported in the first bucket
+    it shares, so it appears once without a distinct and without a nested-loop
+    join, however long an interval is."""
+    known = left.select("young", "old").unionByName(right.select("young", "old"))
+    low, high, mean = known.agg(F.least(F.min("young"), F.min("old")), F.greatest(F.max("young"), F.max("old")), F.avg(F.col("old") - F.col("young"))).head()
+    low, high = (0.0, 0.0) if low is None else (float(low), float(high))
+    width = float(width or mean or 0) if (width or mean or 0) > 0 else 1.0
+    levels = max(0, math.ceil(math.log2(max((high - low) / width, 1))))
+
     def dealt(df: DataFrame, side: str) -> DataFrame:
         cols = [F.col(c).alias(f"{side}_{c}") for c in ("id", "young", "old")] + ([F.col(key).alias("k")] if key else [])
-        first, last = F.floor(F.col("young") / width), F.floor(F.col("old") / width)
-        return df.where("young <= old").select(*cols, first.alias(f"{side}_first"), F.explode(F.sequence(first, last)).alias("bucket"))
+        begin, end = F.coalesce(F.col("young").cast("double"), F.lit(low)), F.coalesce(F.col("old").cast("double"), F.lit(high))
+        own = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest((end - begin) / width, F.lit(1.0)))).cast("int"))
+        sound = df.where(F.col("young").isNull() | F.col("old").isNull() | (F.col("young") <= F.col("old")))
+        each = sound.select(*cols, begin.alias("begin"), end.alias("end"), own.alias(f"{side}_level"))
+        each = each.select("*", F.explode(F.sequence(F.col(f"{side}_level"), F.greatest(F.col(f"{side}_level"), F.lit(levels)))).alias("level"))
+        size = F.lit(width) * F.pow(F.lit(2.0), F.col("level"))
+        first, last = F.floor(F.col("begin") / size), F.floor(F.greatest("begin", "end") / size)
+        return each.select("*", first.alias(f"{side}_first"), F.explode(F.sequence(first, last)).alias("bucket")).drop("begin", "end")
 
     a, b = dealt(left, "left"), dealt(right, "right")
-    met = a.join(b, ["bucket", "k"] if key else ["bucket"])
-    met = met.where(F.col("bucket") == F.greatest("left_first", "right_first"))
-    return met.where("left_old >= right_young and right_old >= left_young").select("left_id", "right_id")
+    met = a.join(b, ["level", "bucket", *(["k"] if key else [])])
+    met = met.where((F.col("level") == F.greatest("left_level", "right_level")) & (F.col("bucket") == F.greatest("left_first", "right_first")))
+    return met.where(overlaps(*(F.col(c) for c in ("left_old", "left_young", "right_old", "right_young")))).select("left_id", "right_id")
 
 
 def to_ma(value: Column, unit: Column) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import bisect
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -152,18 +155,35 @@ def version_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     return both.unionByName(gone).unionByName(fresh)
 
 
+def _in_order(pairs: pa.Table) -> pa.Table:
+    """Marks the pairs of a section that a longest run in the same order keeps as
+    equal, the others as moved."""
+    pairs = pairs.sort_by([("old_pos", "ascending"), ("new_pos", "ascending")])
+    new = pairs["new_pos"].to_pylist()
+    tails: list[int] = []  # the pair that ends the best run of each length
+    before: list[int] = []
+    for i, pos in enumerate(new):
+        k = bisect.bisect_left(tails, pos, key=lambda t: new[t])
+        before.append(tails[k - 1] if k else -1)
+        tails[k : k + 1] = [i]
+    change, at = ["moved"] * len(new), tails[-1] if tails else -1
+    while at >= 0:
+        change[at] = "equal"
+        at = before[at]
+    return pairs.append_column("change", pa.array(change, pa.string()))
+
+
 def align_paragraphs(old: DataFrame, new: DataFrame) -> DataFrame:
     """(``section``, ``old_pos``, ``new_pos``, ``change``) of paragraphs (``section``,
-    ``pos``, ``text``): equal, moved, changed (equal-length replacements between
-    equal neighbours pair up), retired, new."""
+    ``pos``, ``text``): equal (a longest run of matches in the same order), moved,
+    changed (equal-length replacements between equal neighbours pair up),
+    retired, new."""
     h = lambda df, s: df.select("section", F.col("pos").alias(f"{s}_pos"), F.sha2(F.col("text").cast("binary"), 256).alias("h"))
     order = [F.abs(F.col("old_pos") - F.col("new_pos")), "old_pos", "new_pos"]
     w1, w2 = Window.partitionBy("section", "h", "old_pos").orderBy(*order), Window.partitionBy("section", "h", "new_pos").orderBy(*order)
     same = h(old, "old").join(h(new, "new"), ["section", "h"]).withColumn("a", F.row_number().over(w1)).withColumn("b", F.row_number().over(w2)).where("a = 1 and b = 1")
-    w = Window.partitionBy("section").orderBy("old_pos")
-    behind = F.max("new_pos").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    ahead = F.min("new_pos").over(w.rowsBetween(1, Window.unboundedFollowing))
-    kept = same.withColumn("change", F.when((behind > F.col("new_pos")) | (ahead < F.col("new_pos")), "moved").otherwise("equal")).select("section", "old_pos", "new_pos", "change")
+    same = same.select("section", F.col("old_pos").cast("long").alias("old_pos"), F.col("new_pos").cast("long").alias("new_pos"))
+    kept = same.groupBy("section").applyInArrow(_in_order, f"section {same.schema['section'].dataType.simpleString()}, old_pos long, new_pos long, change string")
 
     def runs(df: DataFrame, s: str) -> DataFrame:
         marked = df.select("section", F.col("pos").alias(f"{s}_pos")).join(kept.select("section", f"{s}_pos", F.col("old_pos").alias("anchor")), ["section", f"{s}_pos"], "left") if s == "new" else df.select("section", F.col("pos").alias("old_pos")).join(kept.select("section", "old_pos", F.col("old_pos").alias("anchor")), ["section", "old_pos"], "left")

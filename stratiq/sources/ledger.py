@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratiq.functions.text import squeeze
+from stratiq.session import settled
 from stratiq.sources.schemas import FAMILIES, ddl
 
 
@@ -128,22 +131,24 @@ def successions(rows: DataFrame, retired: str, successors: str) -> DataFrame:
     return rows.select(F.col(retired).alias("retired"), parts.alias("successors"))
 
 
-def walk(records: DataFrame, ident: str = "id", raw: str = "raw", most: int = 24) -> DataFrame:
+def walk(records: DataFrame, ident: str = "id", raw: str = "raw") -> DataFrame:
     """(``id``, ``path``, ``key``, ``value``) of every key at every depth of JSON texts.
 
-    Each level of nesting is one variant explode; ``most`` levels at most."""
-    level = records.select(F.col(ident).alias("id"), F.lit("").alias("path"), F.try_parse_json(raw).alias("v"))
+    Each level of nesting is one variant explode.  Beyond the third, what is
+    left to unfold is written down first, so that no level is worked out twice;
+    it ends with the level below which nothing is nested."""
+    spark = records.sparkSession
+    level = records.select(F.col(ident).alias("id"), F.lit("").alias("path"), F.col(raw).alias("value"))
     out = None
-    for depth in range(most):
+    for depth in itertools.count():
         view = f"__walk_{id(records)}_{depth}"
-        level.createOrReplaceTempView(view)
-        spark = records.sparkSession
+        level.select("id", "path", F.try_parse_json("value").alias("v")).createOrReplaceTempView(view)
         each = spark.sql(f"SELECT t.id, concat(t.path, CASE WHEN e.key IS NULL THEN concat('[', e.pos, ']') WHEN t.path = '' THEN e.key ELSE concat('.', e.key) END) AS path, e.key AS key, e.value AS v FROM {view} t, LATERAL variant_explode(t.v) AS e")
         spark.catalog.dropTempView(view)
-        kind = F.schema_of_variant("v")
-        named = each.select("id", "path", "key", F.to_json("v").alias("value"), kind.alias("kind"))
+        named = each.select("id", "path", "key", F.to_json("v").alias("value"), F.schema_of_variant("v").alias("kind"))
+        if depth >= 3:
+            named = settled(named)
         out = named if out is None else out.unionByName(named)
-        level = each.where(kind.startswith("OBJECT") | kind.startswith("ARRAY")).select("id", "path", "v")
+        level = named.where(F.col("kind").startswith("OBJECT") | F.col("kind").startswith("ARRAY")).select("id", "path", "value")
         if depth >= 3 and level.isEmpty():
-            break
-    return out
+            return out

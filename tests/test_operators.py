@@ -157,3 +157,91 @@ def test_sources(spark, tmp_path):
     assert versioning.fingerprint(files.select("path", "sha256")).head()["files"] >= 3
     keys = {(x["path"], x["key"]) for x in ledger.walk(spark.createDataFrame([("1", '{"a":{"b":[{"c":1}]},"d":"x"}')], "id string, raw string")).collect()}
     assert {("a", "a"), ("a.b", "b"), ("a.b[0].c", "c"), ("d", "d")} <= keys
+
+
+def test_keys_at_any_depth(spark):
+    text = "".join(f'{{"k{i}": ' for i in range(40)) + '[1, {"last": "x"}]' + "}" * 40
+    got = ledger.walk(spark.createDataFrame([("a", text), ("b", "{}"), ("c", None), ("d", "no json")], "id string, raw string")).where("key is not null")
+    assert sorted(x["key"] for x in got.collect()) == sorted([f"k{i}" for i in range(40)] + ["last"])
+    assert got.where("key = 'last'").head()["value"] == '"x"'
+
+
+@pytest.mark.parametrize("edits", [0, 1, 2, 3])
+def test_candidates_at_any_number_of_edits(spark, edits):
+    import random
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row = following(row, i, x, b)
+        return row[-1]
+
+    def following(row, i, x, b):
+        out = [i]
+        for j, y in enumerate(b, 1):
+            out.append(min(row[j] + 1, out[-1] + 1, row[j - 1] + (x != y)))
+        return out
+
+    rng = random.Random(edits)
+    words = {"xabcdefgh", "yabcdefgz", "abcdefghij"}
+    while len(words) < 60:
+        w = list(rng.choice(sorted(words)))
+        for _ in range(rng.randint(1, 2)):
+            at = rng.randrange(len(w))
+            w[at : at + 1] = rng.choice([[], [rng.choice("abcxyz")], [w[at], rng.choice("abcxyz")]])
+        if len(w) > 4:
+            words.add("".join(w))
+    got = matching.candidate_pairs(spark.createDataFrame([(w,) for w in words], "label string"), edits=edits)
+    near = {(x["a"], x["b"]) for x in got.collect() if "edit_distance" in x["reasons"]}
+    assert near == {(a, b) for a in words for b in words if a < b and distance(a, b) <= edits}
+
+
+def test_overlaps_of_open_and_long_intervals(spark):
+    import random
+
+    rng = random.Random(3)
+    bound = lambda: rng.choice([None, rng.randint(-20, 20), rng.randint(-2000, 2000)])
+    a, b = [(i, bound(), bound(), rng.choice("pq")) for i in range(120)], [(i, bound(), bound(), rng.choice("pq")) for i in range(120)]
+    left, right = (spark.createDataFrame(x, "id int, young int, old int, k string") for x in (a, b))
+    sound = lambda x: x[1] is None or x[2] is None or x[1] <= x[2]
+    meets = lambda x, y: sound(x) and sound(y) and (x[2] is None or y[1] is None or x[2] >= y[1]) and (y[2] is None or x[1] is None or y[2] >= x[1])
+    for key in (None, "k"):
+        want = sorted((x[0], y[0]) for x in a for y in b if meets(x, y) and (key is None or x[3] == y[3]))
+        for width in (None, 7.0, 1000.0):
+            assert rows(temporal.overlap_join(left, right, width, key=key)) == want
+    nothing = left.where("false")
+    assert rows(temporal.overlap_join(nothing, nothing)) == [] and rows(temporal.overlap_join(left, nothing)) == []
+
+
+def test_paragraphs_that_moved(spark):
+    def made(texts):
+        return spark.createDataFrame([("s", i, x) for i, x in enumerate(texts)], "section string, pos int, text string")
+
+    got = lambda o, n: {(x["old_pos"], x["new_pos"]): x["change"] for x in versioning.align_paragraphs(made(o), made(n)).collect()}
+    assert got("ABCDE", "EABCD") == {(0, 1): "equal", (1, 2): "equal", (2, 3): "equal", (3, 4): "equal", (4, 0): "moved"}
+    assert got("ABC", "AXC") == {(0, 0): "equal", (1, 1): "changed", (2, 2): "equal"}
+    assert got("AB", "ABC") == {(0, 0): "equal", (1, 1): "equal", (None, 2): "new"}
+
+
+def test_components_and_chains_against_plain_code(spark):
+    import random
+
+    rng = random.Random(8)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(330)] + [(1000 + i, 1001 + i) for i in range(300)]
+    parent = {x: x for e in links for x in e}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for u, v in links:
+        a, b = sorted((root(u), root(v)))
+        parent[b] = a
+    df = spark.createDataFrame(links, "u long, v long")
+    assert rows(graph.components(df)) == sorted({(x, root(x)) for u, v in links if u != v for x in (u, v)})
+    chain = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(200, 201), (201, 202), (202, 201)], "node long, target long")
+    ends = {x["node"]: (x["last"], x["circular"]) for x in graph.pointer_ends(chain).collect()}
+    assert all(ends[i] == (100, False) for i in range(100)) and ends[200] == ends[201] == ends[202] == (None, True)
+    cycles = graph.cycle_members(chain.select(col("node").alias("src"), col("target").alias("dst")))
+    assert rows(cycles.select("node", "cycle")) == [(201, 201), (202, 201)]
