@@ -80,10 +80,12 @@ def log_problems(log: DataFrame) -> DataFrame:
     return jumps.unionByName(crossed)
 
 
-def fingerprint(files: DataFrame) -> DataFrame:
-    """(``files``, ``fingerprint``) of (``path``, ``sha256``): order-free over input order."""
+def fingerprint(files: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """(``files``, ``fingerprint``) of (``path``, ``sha256``), of each group of ``by``:
+    order-free over input order.  The hash is of one list of all paths, which a
+    group's task holds (some 100 bytes a file)."""
     lines = F.transform(F.array_sort(F.collect_list(F.struct("path", "sha256"))), lambda x: F.concat(x["path"], F.lit("\t"), x["sha256"], F.lit("\n")))
-    return files.agg(F.count(F.lit(1)).alias("files"), F.concat(F.lit("sha256:"), F.sha2(F.array_join(lines, "").cast("binary"), 256)).alias("fingerprint"))
+    return files.groupBy(*by).agg(F.count(F.lit(1)).alias("files"), F.concat(F.lit("sha256:"), F.sha2(F.array_join(lines, "").cast("binary"), 256)).alias("fingerprint"))
 
 
 def file_changes(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stratiq.functions.text import ids_in, key_tokens
 from stratiq.plans.findings import Ledger, both, found, rule
-from stratiq.sources.ledger import ledger, walk
+from stratiq.sources.ledger import ledger, walked
 
 col = F.col
 
@@ -38,18 +38,18 @@ def _science(data: Ledger) -> DataFrame:
     return ledger({k: v for k, v in data.items() if k != "game-projections" and "raw" in v.columns and "record_status" in v.columns})
 
 
-def _keys(df: DataFrame) -> DataFrame:
-    return walk(df).where("key is not null")
+def _keys(data: Ledger, name: str, df: DataFrame) -> DataFrame:
+    return walked(data, name, df).where("key is not null")
 
 
-def _text(df: DataFrame) -> DataFrame:
-    """Leaf strings with their unquoted text."""
-    return walk(df).where(F.col("kind") == "STRING").withColumn("leaf", F.regexp_replace("value", '^"|"$', ""))
+def _text(data: Ledger) -> DataFrame:
+    """Leaf strings of the scientific records with their unquoted text."""
+    return walked(data, "science", _science(data)).where(F.col("kind") == "STRING").withColumn("leaf", F.regexp_replace("value", '^"|"$', ""))
 
 
 @rule("separation", "SEP1")
 def mechanics(data: Ledger) -> DataFrame:
-    k = _keys(_science(data))
+    k = _keys(data, "science", _science(data))
     hit = F.arrays_overlap(key_tokens(col("key")), F.array(*[F.lit(m) for m in MECHANIC])) | F.lower("key").rlike(MECHANIC_KEYS)
     return found(k, hit, "ERROR", "mechanic in a scientific record", col("path"))
 
@@ -61,13 +61,13 @@ def game_records(data: Ledger) -> DataFrame:
 
 @rule("separation", "SEP3")
 def game_ids(data: Ledger) -> DataFrame:
-    t = _text(_science(data)).where(col("leaf").rlike("^(GAME|MECH|CAMP|CHAPTER)-[0-9]{6}$") & (col("leaf") != col("id")))
+    t = _text(data).where(col("leaf").rlike("^(GAME|MECH|CAMP|CHAPTER)-[0-9]{6}$") & (col("leaf") != col("id")))
     return found(t, F.lit(True), F.when(_prefix("leaf").isin("GAME", "MECH"), "ERROR").otherwise("WARNING"), "scientific field holds a game id", col("leaf"))
 
 
 @rule("separation", "SEP4")
 def game_mentions(data: Ledger) -> DataFrame:
-    t = _text(_science(data)).where(~col("leaf").rlike("^[A-Z]+-[0-9]{6}$"))
+    t = _text(data).where(~col("leaf").rlike("^[A-Z]+-[0-9]{6}$"))
     held = F.filter(ids_in(col("leaf")), lambda x: F.substring_index(x, "-", 1).isin(*GAME))
     return found(t.withColumn("held", held), F.size("held") > 0, "WARNING", "text names a game id", F.element_at("held", 1))
 
@@ -79,14 +79,14 @@ def science_records(data: Ledger) -> DataFrame:
 
 @rule("separation", "SEP6")
 def rewriting(data: Ledger) -> DataFrame:
-    k = _keys(data["game-projections"])
+    k = _keys(data, "projections", data["game-projections"])
     shaped = col("key").isin(*SCIENCE_SHAPED) & (col("kind").startswith("OBJECT") | col("kind").startswith("ARRAY<OBJECT")) & col("value").rlike('"(id|predicate|subject_id|claim_type)"')
     return found(k, col("key").isin(*SCIENCE_ONLY) | shaped, "ERROR", "game layer restates science", col("path"))
 
 
 @rule("separation", "SEP7")
 def copies(data: Ledger) -> DataFrame:
-    k = _keys(data["game-projections"]).where((col("key") == "id") & F.contains("path", F.lit(".")))
+    k = _keys(data, "projections", data["game-projections"]).where((col("key") == "id") & F.contains("path", F.lit(".")))
     known = _science(data).select(F.concat(F.lit('"'), "id", F.lit('"')).alias("value"))
     return found(k.join(known, "value", "left_semi"), F.lit(True), "ERROR", "copy of a scientific record", col("value"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stratiq.functions.text import ids_in, key_tokens, version_order
 from stratiq.plans.findings import Ledger, both, found, rule
-from stratiq.sources.ledger import ledger, walk
+from stratiq.sources.ledger import ledger, walked
 
 col = F.col
 
@@ -134,7 +134,7 @@ def revision_chain(data: Ledger) -> DataFrame:
 
 
 def _keys(data: Ledger) -> DataFrame:
-    return walk(ledger(data)).where("key is not null")
+    return walked(data, "ledger", ledger(data)).where("key is not null")
 
 
 @rule("state", "STA10")

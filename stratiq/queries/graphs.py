@@ -39,12 +39,13 @@ def tree_levels(d):
     return g.depths(parents).groupBy("depth").agg(F.count(F.lit(1)).alias("n"))
 
 
-CYCLE_SQL = """WITH RECURSIVE e AS (SELECT DISTINCT p_partkey % 97 AS s, (p_partkey * 5 + 3) % 97 AS t FROM part), r AS (SELECT s, t FROM e UNION SELECT r.s, e.t FROM r JOIN e ON r.t = e.s)
-SELECT a.s AS node, (SELECT min(b.t) FROM r b JOIN r c ON b.t = c.s AND c.t = b.s WHERE b.s = a.s) AS cycle FROM r a WHERE a.s = a.t"""
+CYCLE_SQL = """WITH RECURSIVE e AS (SELECT DISTINCT p_partkey AS s, p_partkey // 8 * 8 + (p_partkey * 5 + p_size) % 8 AS t FROM part), r AS (SELECT s, t FROM e UNION SELECT r.s, e.t FROM r JOIN e ON r.t = e.s),
+c AS (SELECT s FROM r WHERE s = t) SELECT a.s AS node, min(a.t) AS cycle FROM r a JOIN r b ON a.s = b.t AND a.t = b.s WHERE a.s IN (SELECT s FROM c) GROUP BY 1"""
 
 
 def _functional(d):
-    return d.part.select((col("p_partkey") % 97).alias("src"), ((col("p_partkey") * 5 + 3) % 97).alias("dst")).distinct()
+    """An edge from every part to one of the same eight."""
+    return d.part.select(col("p_partkey").alias("src"), (F.expr("p_partkey div 8 * 8") + (col("p_partkey") * 5 + col("p_size")) % 8).alias("dst")).distinct()
 
 
 @query(CYCLE_SQL)
@@ -53,7 +54,7 @@ def cycle_members(d):
     return g.cycle_members(_functional(d)).select("node", "cycle")
 
 
-@query("SELECT DISTINCT p_partkey % 97 AS src FROM part WHERE p_partkey % 97 = (p_partkey * 5 + 3) % 97")
+@query("SELECT DISTINCT p_partkey AS src FROM part WHERE p_partkey % 8 = (p_partkey * 5 + p_size) % 8")
 def self_loops(d):
     """TIM16."""
     return g.self_loops(_functional(d)).select("src")
@@ -65,19 +66,8 @@ def multi_parent(d):
     return g.multi_parent(d.lineitem.select(col("l_partkey").alias("src"), col("l_suppkey").alias("dst")))
 
 
-@query("""WITH RECURSIVE l AS (SELECT p_partkey AS u, p_partkey + 7 + p_size % 3 AS v FROM part WHERE p_size % 4 <> 0), b AS (SELECT u, v FROM l UNION SELECT v, u FROM l), r AS (SELECT u, u AS v FROM b UNION SELECT r.u, b.v FROM r JOIN b ON r.v = b.u AND r.u < 300 AND b.v < 300)
-SELECT u AS node, min(v) AS component FROM r WHERE u < 300 GROUP BY 1""")
-def components(d):
-    """Connected components by star contraction."""
-    links = d.part.where("p_size % 4 <> 0").select(col("p_partkey").alias("u"), (col("p_partkey") + 7 + col("p_size") % 3).alias("v"))
-    near = links.where("u < 300 and v < 300")
-    found = g.components(near)
-    alone = links.select(col("u").alias("node")).union(links.select("v")).where("node < 300").distinct().join(found, "node", "left_anti")
-    return found.unionByName(alone.withColumn("component", col("node")))
-
-
 @query()
-def components_whole(d):
+def components(d):
     """Connected components over all links."""
     return g.components(d.part.where("p_size % 4 <> 0").select(col("p_partkey").alias("u"), (col("p_partkey") + 7 + col("p_size") % 3).alias("v")))
 
@@ -90,20 +80,10 @@ def pointer_chase(d):
     return g.pointer_ends(p)
 
 
-@query("""WITH RECURSIVE e AS (SELECT c_custkey AS s, c_custkey // 2 AS t FROM customer WHERE c_custkey > 0), r AS (SELECT s, t FROM e UNION SELECT r.s, e.t FROM r JOIN e ON r.t = e.s), u AS (SELECT s, t FROM r UNION SELECT c_custkey, c_custkey FROM customer),
-g AS (SELECT DISTINCT c_nationkey AS grp, c_custkey AS n FROM customer WHERE c_custkey % 9 = 4), c AS (SELECT grp, t, count(DISTINCT n) AS k FROM g JOIN u ON u.s = g.n GROUP BY ALL)
-SELECT c.grp, max(t) AS lca FROM c JOIN (SELECT grp, count(*) AS k FROM g GROUP BY 1) z ON c.grp = z.grp AND c.k = z.k GROUP BY 1""")
-def lowest_common_ancestor(d):
-    """The deepest node above a whole group."""
-    parents = d.customer.select(col("c_custkey").alias("node"), F.when(col("c_custkey") > 0, F.expr("c_custkey div 2")).alias("parent"))
-    groups = d.customer.where("c_custkey % 9 = 4").select(col("c_nationkey").alias("grp"), col("c_custkey").alias("node"))
-    return g.lowest_common_ancestor(parents, groups)
-
-
 @query("""WITH RECURSIVE e AS (SELECT c_custkey AS s, c_custkey // 2 AS t FROM customer WHERE c_custkey > 0), r AS (SELECT s, t FROM e UNION SELECT r.s, e.t FROM r JOIN e ON r.t = e.s), u AS (SELECT s, t FROM r UNION SELECT c_custkey, c_custkey FROM customer),
 g AS (SELECT DISTINCT c_nationkey AS grp, c_custkey AS n FROM customer), c AS (SELECT grp, t, count(DISTINCT n) AS k FROM g JOIN u ON u.s = g.n GROUP BY ALL)
 SELECT c.grp, max(t) AS lca FROM c JOIN (SELECT grp, count(*) AS k FROM g GROUP BY 1) z ON c.grp = z.grp AND c.k = z.k GROUP BY 1""")
-def lowest_common_ancestor_whole(d):
+def lowest_common_ancestor(d):
     """The deepest node above all customers of a nation."""
     parents = d.customer.select(col("c_custkey").alias("node"), F.when(col("c_custkey") > 0, F.expr("c_custkey div 2")).alias("parent"))
     return g.lowest_common_ancestor(parents, d.customer.select(col("c_nationkey").alias("grp"), col("c_custkey").alias("node")))
@@ -128,17 +108,9 @@ def newick_tree(d):
     return g.newick(parents, parents.select("node", col("node").alias("label")))
 
 
-@query("""WITH RECURSIVE e AS (SELECT p_type AS scope, p_partkey % 13 AS s, (p_partkey * 3 + p_size) % 13 AS t FROM part WHERE p_partkey < 60), r AS (SELECT scope, s, t FROM e UNION SELECT r.scope, r.s, e.t FROM r JOIN e ON r.scope = e.scope AND r.t = e.s)
-SELECT DISTINCT scope, s AS node FROM r WHERE s = t""")
-def scoped_cycles(d):
-    """G07, HYR3, TIM17: cycles within each scope, never over their union."""
-    e = d.part.where("p_partkey < 60").select(col("p_type").alias("scope"), (col("p_partkey") % 13).alias("src"), ((col("p_partkey") * 3 + col("p_size")) % 13).alias("dst"))
-    return g.cycle_members(e, ("scope",)).select("scope", "node")
-
-
 @query("""WITH RECURSIVE e AS (SELECT p_type AS scope, p_partkey % 13 AS s, (p_partkey * 3 + p_size) % 13 AS t FROM part), r AS (SELECT scope, s, t FROM e UNION SELECT r.scope, r.s, e.t FROM r JOIN e ON r.scope = e.scope AND r.t = e.s)
 SELECT DISTINCT scope, s AS node FROM r WHERE s = t""")
-def scoped_cycles_whole(d):
+def scoped_cycles(d):
     """G07, HYR3, TIM17: cycles within each scope, over all rows."""
     e = d.part.select(col("p_type").alias("scope"), (col("p_partkey") % 13).alias("src"), ((col("p_partkey") * 3 + col("p_size")) % 13).alias("dst"))
     return g.cycle_members(e, ("scope",)).select("scope", "node")

@@ -85,22 +85,13 @@ def back_links(d):
 FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey LEFT JOIN nation ON n_nationkey = c_custkey""")
 def label_chain(d):
     """Label by a chain of fallbacks."""
-    named = d.customer.select("c_custkey").join(d.supplier, col("s_suppkey") == col("c_custkey"), "left").join(d.nation, col("n_nationkey") == col("c_custkey"), "left")
-    return named.select("c_custkey", F.coalesce("s_name", "n_name", col("c_custkey").cast("string")).alias("label"))
-
-
-@query("""WITH sel AS (SELECT DISTINCT l_orderkey AS owner, l_suppkey AS m FROM lineitem)
-SELECT a.owner, a.m AS a, b.m AS b FROM sel a JOIN sel b ON a.owner = b.owner AND b.m = a.m + 1 WHERE a.m % 10 = 0""")
-def set_conflicts(d):
-    """J16, HYR2: conflicting pairs that one owner selects both of."""
-    sel = d.lineitem.select(col("l_orderkey").alias("owner"), col("l_suppkey").alias("member")).distinct()
-    pairs = d.supplier.where("s_suppkey % 10 = 0").select(col("s_suppkey").alias("a"), (col("s_suppkey") + 1).alias("b"))
-    return r.both_selected(pairs, sel).select("owner", "a", "b")
+    names = d.supplier.join(d.nation, col("s_suppkey") == col("n_nationkey"), "full_outer").select(F.coalesce(col("s_suppkey").cast("long"), col("n_nationkey").cast("long")).alias("id"), "s_name", "n_name")
+    return r.with_label(d.customer.select("c_custkey"), "c_custkey", names, "id", ["s_name", "n_name"], "label").select("c_custkey", "label")
 
 
 @query("""WITH sel AS (SELECT DISTINCT l_orderkey AS owner, l_suppkey AS m FROM lineitem)
 SELECT a.owner, a.m AS a, b.m AS b FROM sel a JOIN sel b ON a.owner = b.owner AND b.m = a.m + 1 WHERE a.m IN (SELECT s_suppkey FROM supplier)""")
-def set_conflicts_whole(d):
+def set_conflicts(d):
     """J16, HYR2: all neighbouring suppliers that one owner selects both of."""
     sel = d.lineitem.select(col("l_orderkey").alias("owner"), col("l_suppkey").alias("member")).distinct()
     pairs = d.supplier.select(col("s_suppkey").alias("a"), (col("s_suppkey") + 1).alias("b"))
@@ -247,15 +238,8 @@ def top_texts(d):
     return r.top_texts(d.part, "p_name", 20)
 
 
-@query("SELECT s_suppkey, CAST(regexp_extract(s_name, '([0-9]+)$', 1) AS BIGINT) AS suffix FROM supplier ORDER BY suffix DESC, s_suppkey LIMIT 25")
-def numeric_suffix_order(d):
-    """Order by the number at the end of a label."""
-    suffix = F.regexp_extract("s_name", "([0-9]+)$", 1).cast("long")
-    return d.supplier.select("s_suppkey", suffix.alias("suffix")).orderBy(F.desc("suffix"), "s_suppkey").limit(25)
-
-
 @query("SELECT s_suppkey, suffix, row_number() OVER (ORDER BY suffix DESC NULLS LAST, s_suppkey) AS position FROM (SELECT s_suppkey, CAST(regexp_extract(s_name, '([0-9]+)$', 1) AS BIGINT) AS suffix FROM supplier)")
-def numeric_suffix_positions(d):
+def numeric_suffix_order(d):
     """The place of every label in the order by its last number."""
     rows = d.supplier.select("s_suppkey", F.regexp_extract("s_name", "([0-9]+)$", 1).cast("long").alias("suffix"))
     return r.number_rows(rows.withColumn("down", -col("suffix")).withColumn("none", col("suffix").isNull()), ["none", "down", "s_suppkey"]).select("s_suppkey", "suffix", col("row_number").alias("position"))
@@ -290,7 +274,9 @@ def reference_join_chain(d):
 @query("SELECT c_custkey FROM customer SEMI JOIN orders ON o_custkey = c_custkey AND o_totalprice > 400000")
 def claimed_members(d):
     """Members that some owner claims."""
-    return d.customer.select("c_custkey").join(d.orders.where("o_totalprice > 400000").select(col("o_custkey").alias("c_custkey")), "c_custkey", "left_semi")
+    owners = d.orders.groupBy(col("o_orderkey").alias("owner")).agg(F.collect_set("o_custkey").alias("included"), F.collect_set(F.when(col("o_totalprice") <= 400000, col("o_custkey"))).alias("excluded"))
+    claimed = r.claimed_by(owners, "included", "excluded").select(col("member").alias("c_custkey"))
+    return d.customer.select("c_custkey").join(claimed, "c_custkey", "left_semi")
 
 
 @query("""SELECT a.p_partkey AS old, b.p_partkey AS new FROM part a JOIN part b ON a.p_partkey < b.p_partkey AND (a.p_name = b.p_name AND a.p_brand = b.p_brand OR a.p_name = b.p_name AND a.p_size = b.p_size AND a.p_type = b.p_type)""")

@@ -11,10 +11,11 @@ from stratiq.queries.registry import query
 col = F.col
 
 
-@query("SELECT count(*) AS n, md5(text) AS digest FROM documents GROUP BY text HAVING count(*) > 1")
+@query("""SELECT key, count(*) AS n, string_agg(label, ',' ORDER BY label) AS members FROM (SELECT DISTINCT label, trim(lower(regexp_replace(label, '\\s+', ' ', 'g'))) AS key FROM (SELECT p_name AS label FROM part UNION ALL SELECT upper(p_name) FROM part UNION ALL SELECT replace(p_name, ' ', '  ') FROM part WHERE p_size > 25)) GROUP BY 1 HAVING count(*) > 1""")
 def identical_groups(d):
-    """Groups of equal texts."""
-    return d.documents.groupBy("text").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("n", F.md5("text").alias("digest"))
+    """Spellings of one comparison key."""
+    labels = d.part.select(col("p_name").alias("label")).union(d.part.select(F.upper("p_name"))).union(d.part.where("p_size > 25").select(F.replace("p_name", F.lit(" "), F.lit("  "))))
+    return m.identical_groups(labels).select("key", "n", F.array_join("members", ",").alias("members"))
 
 
 @query("""WITH w AS (SELECT DISTINCT trim(lower(regexp_replace(p_name || ' ' || p_type, '\\s+', ' ', 'g'))) AS k FROM part) SELECT a.k AS a, b.k AS b FROM w a JOIN w b ON a.k < b.k AND levenshtein(a.k, b.k) <= 1""")
@@ -26,21 +27,13 @@ def edit_pairs(d):
     return a.join(b, "block").where("a < b").select("a", "b").distinct().where(t.near(col("a"), col("b"), 1))
 
 
-@query("""WITH c AS (SELECT c_custkey, c_name, regexp_replace(c_name, '[0-9]+', '#', 'g') AS mask FROM customer WHERE c_custkey < 40) SELECT a.c_custkey AS a, b.c_custkey AS b FROM c a JOIN c b ON a.mask = b.mask AND a.c_custkey < b.c_custkey""")
-def digits_only_pairs(d):
-    """labels that differ in digits only."""
-    c = d.customer.where("c_custkey < 40").withColumn("mask", F.regexp_replace("c_name", "[0-9]+", "#"))
-    a, b = c.select("mask", col("c_custkey").alias("a"), col("c_name").alias("na")), c.select("mask", col("c_custkey").alias("b"), col("c_name").alias("nb"))
-    return a.join(b, "mask").where("a < b").where(t.differ_in_digits_only(col("na"), col("nb"))).select("a", "b")
-
-
 @query("""WITH l AS (SELECT DISTINCT c_name AS label, regexp_replace(c_name, '[0-9]+', '#', 'g') AS mask FROM customer WHERE regexp_matches(c_name, '[0-9]'))
-SELECT label, representative, n FROM l JOIN (SELECT mask, min(label) AS representative, count(*) AS n FROM l GROUP BY 1) USING (mask)""")
+SELECT label, representative, n, label <> representative AS differs FROM l JOIN (SELECT mask, min(label) AS representative, count(*) AS n FROM l GROUP BY 1) USING (mask)""")
 def digits_only_classes(d):
     """every label with digits, its class of labels that differ in digits only (least member and size)."""
     labels = d.customer.where(col("c_name").rlike("[0-9]")).select(col("c_name").alias("label"), F.regexp_replace("c_name", "[0-9]+", "#").alias("mask")).distinct()
     classes = labels.groupBy("mask").agg(F.min("label").alias("representative"), F.count(F.lit(1)).alias("n"))
-    return labels.join(classes, "mask").select("label", "representative", "n")
+    return labels.join(classes, "mask").select("label", "representative", "n", t.differ_in_digits_only(col("label"), col("representative")).alias("differs"))
 
 
 @query("""WITH w AS (SELECT DISTINCT p_name AS a, p_name || ' ' || lower(p_type) AS b FROM part) SELECT a, b, contains(' ' || b || ' ', ' ' || a || ' ') AS contained, length(a) AS prefix FROM w""")

@@ -14,10 +14,10 @@ class Tables:
     """The tables of one directory, read on demand."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self._spark, self._dir = spark, sf_dir
+        self.spark, self._dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self.spark.read.parquet(f"{self._dir}/{name}.parquet")
 
 
 def query(sql: str | None = None) -> Callable:

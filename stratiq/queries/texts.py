@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stratiq.functions import text as t
+from stratiq.operators.versioning import fingerprint
 from stratiq.queries.registry import query
 
 col = F.col
@@ -15,9 +17,10 @@ SELECT doc_id, p, i, CAST(coalesce(list_sum(list_transform(ps[1:i-1], lambda x:
 SELECT doc_id, ps, unnest(ps) AS p, generate_subscripts(ps, 1) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ps FROM documents))) WHERE trim(regexp_replace(p, '\\s+', ' ', 'g')) <> ''""")
 def segments(d):
     """Lines with their offsets."""
-    each = d.documents.select("doc_id", F.posexplode(t.paragraphs(col("text"), r"\n")).alias("k", "p"), F.split("text", "\n", -1).alias("all"))
-    each = each.withColumn("ordinal", F.size(F.split(F.substr(F.array_join("all", "\n"), F.lit(1), col("p.start")), "\n", -1)) - 1)
-    return each.select("doc_id", col("ordinal").cast("long").alias("ordinal"), col("p.start").cast("long").alias("start"), col("p.end").cast("long").alias("end"), F.length("p.text").cast("long").alias("n"))
+    lines = d.documents.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("ordinal", "p"))
+    upto = Window.partitionBy("doc_id").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, -1)
+    each = lines.withColumn("start", F.coalesce(F.sum(F.length("p") + 1).over(upto), F.lit(0))).where(~t.blank(col("p")))
+    return each.select("doc_id", col("ordinal").cast("long").alias("ordinal"), "start", (col("start") + F.length("p")).alias("end"), F.length("p").cast("long").alias("n"))
 
 
 @query(r"""SELECT doc_id, len(m) AS n, m[1] AS first FROM (SELECT doc_id, regexp_extract_all(text, '[A-Za-z0-9._]+@[a-z0-9.]+', 0) AS m FROM documents) WHERE len(m) > 0""")
@@ -27,11 +30,11 @@ def extracted_ids(d):
     return found.select("doc_id", F.size("m").cast("long").alias("n"), F.element_at("m", 1)["text"].alias("first"))
 
 
-@query("SELECT source, 'sha256:' || sha256(string_agg(CAST(doc_id AS VARCHAR) || chr(9) || sha256(text) || chr(10), '' ORDER BY doc_id)) AS fingerprint FROM documents GROUP BY 1")
+@query("SELECT source, 'sha256:' || sha256(string_agg(lpad(CAST(doc_id AS VARCHAR), 12, '0') || chr(9) || sha256(text) || chr(10), '' ORDER BY doc_id)) AS fingerprint FROM documents GROUP BY 1")
 def layer_fingerprint(d):
     """One hash over all rows of a layer, whatever their order."""
-    lines = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", F.sha2(col("text").cast("binary"), 256).alias("h")))), lambda x: F.concat(x["doc_id"].cast("string"), F.lit("\t"), x["h"], F.lit("\n")))
-    return d.documents.groupBy("source").agg(F.concat(F.lit("sha256:"), F.sha2(F.array_join(lines, "").cast("binary"), 256)).alias("fingerprint"))
+    files = d.documents.select("source", F.lpad(col("doc_id").cast("string"), 12, "0").alias("path"), F.sha2(col("text").cast("binary"), 256).alias("sha256"))
+    return fingerprint(files, ("source",)).select("source", "fingerprint")
 
 
 @query("""SELECT a.doc_id AS old, b.doc_id AS new FROM documents a JOIN documents b ON sha256(a.text) = sha256(b.text) AND a.doc_id % 2 = 0 AND b.doc_id % 2 = 1""")
@@ -67,14 +70,8 @@ def measure_names(d):
     return d.part.select("p_partkey", t.measure_name(F.concat_ws(" ", "p_name", "p_type")).alias("name"))
 
 
-@query("SELECT doc_id, sha256(trim(lower(regexp_replace(strip_accents(replace(replace(replace(text, '*', ''), '_', ''), '`', '')), '\\s+', ' ', 'g')))) AS key FROM documents WHERE lang IN ('es', 'fr')")
-def comparison_keys(d):
-    """keys that set accents, case and spacing aside."""
-    return d.documents.where(col("lang").isin("es", "fr")).select("doc_id", F.sha2(t.comparison_key(col("text")).cast("binary"), 256).alias("key"))
-
-
 @query()
-def comparison_keys_whole(d):
+def comparison_keys(d):
     """keys of all documents, whatever their language."""
     return d.documents.select("doc_id", F.sha2(t.comparison_key(col("text")).cast("binary"), 256).alias("key"))
 

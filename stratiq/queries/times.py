@@ -57,11 +57,23 @@ def interval_overlap_pairs(d):
     return tm.overlap_join(n, s, 64.0)
 
 
+@query("""WITH a AS (SELECT s_suppkey AS id, CASE WHEN s_suppkey % 5 <> 0 THEN 1000 + s_suppkey * 7 % 3000 END AS young, CASE WHEN s_suppkey % 7 <> 0 THEN 1000 + s_suppkey * 7 % 3000 + s_suppkey % 40 END AS old FROM supplier),
+b AS (SELECT n_nationkey AS id, CASE WHEN n_nationkey % 3 <> 0 THEN n_nationkey * 150 END AS young, CASE WHEN n_nationkey % 4 <> 0 THEN n_nationkey * 150 + 90 END AS old FROM nation)
+SELECT a.id AS left_id, b.id AS right_id FROM a JOIN b ON (a.old IS NULL OR b.young IS NULL OR a.old >= b.young) AND (b.old IS NULL OR a.young IS NULL OR b.old >= a.young)""")
+def open_overlap_pairs(d):
+    """Overlap join of intervals with open bounds."""
+    k, n = col("s_suppkey"), col("n_nationkey")
+    young = 1000 + k * 7 % 3000
+    a = d.supplier.select(k.alias("id"), F.when(k % 5 != 0, young).alias("young"), F.when(k % 7 != 0, young + k % 40).alias("old"))
+    b = d.nation.select(n.alias("id"), F.when(n % 3 != 0, n * 150).alias("young"), F.when(n % 4 != 0, n * 150 + 90).alias("old"))
+    return tm.overlap_join(a, b)
+
+
 @query("SELECT o_orderkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey HAVING bool_and(l_shipdate < o_orderdate)")
 def strictly_precedes(d):
     """J10, TIM14: all of one side's dates lie before the other's."""
     met = d.orders.join(d.lineitem, col("l_orderkey") == col("o_orderkey"))
-    return met.groupBy("o_orderkey").agg(F.bool_and(col("l_shipdate") < col("o_orderdate")).alias("every")).where("every").select("o_orderkey")
+    return met.groupBy("o_orderkey").agg(F.bool_and(tm.strictly_younger(col("l_shipdate"), col("o_orderdate"))).alias("every")).where("every").select("o_orderkey")
 
 
 @query("SELECT o_custkey, min(o_orderdate) AS first_date, max(o_orderdate) AS last_date, count(*) AS n FROM orders GROUP BY 1")

@@ -63,8 +63,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY w DESC, b) AS x, row_
 def mutual_first_choice(d):
     """Pairs that are each other's first choice."""
     p = d.lineitem.groupBy(col("l_partkey").alias("a"), col("l_suppkey").alias("b")).agg(F.max("l_quantity").alias("w"))
-    ra, rb = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("w"), "b")), F.row_number().over(Window.partitionBy("b").orderBy(F.desc("w"), "a"))
-    return p.withColumn("x", ra).withColumn("y", rb).where("x = 1 and y = 1").select("a", "b")
+    return r.mutual_first(p, "a", "b", [F.desc("w"), "a", "b"]).select("a", "b")
 
 
 @query("""SELECT event_type, sum(CAST(json_extract(props, '$.k') AS BIGINT))::BIGINT AS k FROM events GROUP BY 1""")

@@ -19,6 +19,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def _names(spark: SparkSession, pattern: str) -> list[str]:
+    p = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return [f.getPath().getName() for f in p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or []]
+
+
 def read_family(spark: SparkSession, path: str, family: str) -> tuple[DataFrame, DataFrame]:
     """(records, findings) of one JSON-lines file: blank lines are skipped, a
     malformed line is an ERROR with its text and the others are kept; a missing
@@ -38,7 +43,8 @@ def read_family(spark: SparkSession, path: str, family: str) -> tuple[DataFrame,
 
 def read_ledger(spark: SparkSession, records: str, views: str | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
     """(data, findings) of a directory of ledger files; families whose file is
-    absent are empty.  On a name clash the records' file wins over the views'."""
+    absent are empty.  On a name clash the records' file wins over the views'.
+    A file of no known family is an ERROR and is not read."""
     data: dict[str, DataFrame] = {}
     findings: DataFrame | None = None
     for family in FAMILIES:
@@ -51,15 +57,21 @@ def read_ledger(spark: SparkSession, records: str, views: str | None = None) ->
             findings = wrong if findings is None else findings.unionByName(wrong)
     if findings is None:
         _, findings = read_family(spark, f"{records}/*.jsonl", "claims")
-    return data, findings
+    strange = sorted(name for name in _names(spark, f"{records}/*.jsonl") if name.removesuffix(".jsonl") not in FAMILIES)
+    unknown = spark.createDataFrame([("ERROR", "scan", "SCH4", name, None, None, "no schema for this file") for name in strange], findings.schema)
+    return data, findings.unionByName(unknown)
 
 
 def frame(spark: SparkSession, family: str, records: list[dict]) -> DataFrame:
     """A family from Python records, through the same parser as files."""
     import json
 
-    lines = spark.createDataFrame([(json.dumps(r, ensure_ascii=False),) for r in records], "raw string")
-    return lines.select(F.from_json("raw", ddl(family)).alias("r"), "raw").select("r.*", F.lit(f"{family}.jsonl").alias("file"), "raw")
+    return parsed(spark.createDataFrame([(json.dumps(r, ensure_ascii=False),) for r in records], "raw string"), family)
+
+
+def parsed(texts: DataFrame, family: str) -> DataFrame:
+    """A family from JSON texts (``raw``), in its declared schema."""
+    return texts.select(F.from_json("raw", ddl(family)).alias("r"), "raw").select("r.*", F.lit(f"{family}.jsonl").alias("file"), "raw")
 
 
 def dataset(spark: SparkSession, families: dict[str, list[dict]]) -> dict[str, DataFrame]:
@@ -134,9 +146,9 @@ def successions(rows: DataFrame, retired: str, successors: str) -> DataFrame:
 def walk(records: DataFrame, ident: str = "id", raw: str = "raw") -> DataFrame:
     """(``id``, ``path``, ``key``, ``value``) of every key at every depth of JSON texts.
 
-    Each level of nesting is one variant explode.  Beyond the third, what is
-    left to unfold is written down first, so that no level is worked out twice;
-    it ends with the level below which nothing is nested."""
+    Each level of nesting is one variant explode, written down before the next,
+    so that no level is worked out twice; it ends with the level below which
+    nothing is nested."""
     spark = records.sparkSession
     level = records.select(F.col(ident).alias("id"), F.lit("").alias("path"), F.col(raw).alias("value"))
     out = None
@@ -145,10 +157,21 @@ def walk(records: DataFrame, ident: str = "id", raw: str = "raw") -> DataFrame:
         level.select("id", "path", F.try_parse_json("value").alias("v")).createOrReplaceTempView(view)
         each = spark.sql(f"SELECT t.id, concat(t.path, CASE WHEN e.key IS NULL THEN concat('[', e.pos, ']') WHEN t.path = '' THEN e.key ELSE concat('.', e.key) END) AS path, e.key AS key, e.value AS v FROM {view} t, LATERAL variant_explode(t.v) AS e")
         spark.catalog.dropTempView(view)
-        named = each.select("id", "path", "key", F.to_json("v").alias("value"), F.schema_of_variant("v").alias("kind"))
-        if depth >= 3:
-            named = settled(named)
+        named = settled(each.select("id", "path", "key", F.to_json("v").alias("value"), F.schema_of_variant("v").alias("kind")))
         out = named if out is None else out.unionByName(named)
         level = named.where(F.col("kind").startswith("OBJECT") | F.col("kind").startswith("ARRAY")).select("id", "path", "value")
-        if depth >= 3 and level.isEmpty():
+        if level.isEmpty():
             return out
+
+
+_WALKED: dict[str, tuple[list[DataFrame], DataFrame]] = {}
+
+
+def walked(data: dict[str, DataFrame], name: str, records: DataFrame) -> DataFrame:
+    """:func:`walk` of ``records``, made once for all rules that look at ``name`` of
+    the same ledger."""
+    frames = list(data.values())
+    kept = _WALKED.get(name)
+    if kept is None or len(kept[0]) != len(frames) or any(a is not b for a, b in zip(kept[0], frames, strict=True)):
+        kept = _WALKED[name] = (frames, walk(records))
+    return kept[1]
