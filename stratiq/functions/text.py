@@ -6,8 +6,12 @@ white space (``(?U)\\s``), as plain ``trim`` only knows U+0020.
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Id prefixes of the ledger's record families.
 ID_PREFIXES = (
@@ -275,3 +279,19 @@ def html_escape(text: Column) -> Column:
 
 def clipped(text: Column, most: int) -> Column:
     return F.when(F.length(text) > most, F.concat(F.substr(text, F.lit(1), F.lit(most - 1)), F.lit("…"))).otherwise(text)
+
+
+def hypothesis_code(description: Column) -> Column:
+    """The short code that a conversion leaves in a description; null if none."""
+    return F.nullif(F.regexp_extract(description, r"\((H[0-9]+) del corredor\)", 1), F.lit(""))
+
+
+@F.pandas_udf(StringType())
+def _composed(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
+
+
+def proposal_form(text: Column) -> Column:
+    """Composed (NFC), trimmed, white space collapsed; case and accents stay.  Only
+    texts that hold more than ASCII pass the composition."""
+    return squeeze(F.when(text.rlike(r"[^\x00-\x7F]"), _composed(text)).otherwise(text))

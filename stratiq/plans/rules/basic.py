@@ -101,3 +101,15 @@ def untraceable(data: Ledger) -> DataFrame:
 @rule("provenance", "PRV3")
 def floating(data: Ledger) -> DataFrame:
     return found(data["mentions"], col("passage_id").isNull() | (col("passage_id") == ""), "ERROR", "no passage")
+
+
+@rule("provenance", "PRV4")
+def guides(data: Ledger) -> DataFrame:
+    """Needs a ``guides`` frame (``path``, ``sha256`` as recorded, ``archived``) and a
+    ``guide-files`` frame (``path``, ``sha256`` as found); without them, nothing to say."""
+    if "guides" not in data:
+        return found(data["sources"], F.lit(False), "ERROR")
+    kept = data["guide-files"].select("path", col("sha256").alias("now"))
+    met = data["guides"].join(kept, "path", "left").withColumnRenamed("path", "id")
+    severity = F.when(col("now").isNull() | col("archived"), "ERROR").otherwise("WARNING")
+    return found(met, col("now").isNull() | (col("now") != col("sha256")), severity, F.when(col("now").isNull(), "guide is gone").otherwise("guide differs from its recorded hash"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import json
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -64,8 +65,6 @@ def read_ledger(spark: SparkSession, records: str, views: str | None = None) ->
 
 def frame(spark: SparkSession, family: str, records: list[dict]) -> DataFrame:
     """A family from Python records, through the same parser as files."""
-    import json
-
     return parsed(spark.createDataFrame([(json.dumps(r, ensure_ascii=False),) for r in records], "raw string"), family)
 
 
@@ -80,9 +79,12 @@ def dataset(spark: SparkSession, families: dict[str, list[dict]]) -> dict[str, D
 
 
 def ledger(data: dict[str, DataFrame]) -> DataFrame:
-    """All records of all families as (``file``, ``id``, ``prefix``, ``record_status``, ``raw``)."""
+    """All records of all families as (``file``, ``id``, ``prefix``, ``record_status``, ``raw``);
+    other tables that stand beside them (counts, change sets) are passed over."""
     out = None
     for df in data.values():
+        if not {"file", "id", "record_status", "raw"} <= set(df.columns):
+            continue
         part = df.select("file", "id", F.substring_index("id", "-", 1).alias("prefix"), "record_status", "raw")
         out = part if out is None else out.unionByName(part)
     return out
@@ -137,6 +139,32 @@ def layer_files(spark: SparkSession, path: str) -> DataFrame:
     return read.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
 
 
+def read_metadata(spark: SparkSession, base: str) -> dict:
+    """What a layer says of itself: ``VERSION`` and ``manifest.json``, each if there."""
+    text = lambda name: next((r["value"].strip() for r in spark.read.text(f"{base}/{name}", wholetext=True).collect()), None) if _exists(spark, f"{base}/{name}") else None
+    told = json.loads(text("manifest.json") or "{}")
+    return {"corpus": told.get("corpus"), "version": text("VERSION"), "cutoff": told.get("fecha_de_corte_bibliografico"), "declared_state": told.get("estado"), "counts": told.get("counts")}
+
+
+def read_json_tree(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(records, findings) of all ``.json`` and ``.jsonl`` files below a directory:
+    (``file``, ``raw``) of every object, be it a line, a document or an entry of
+    an array; what is no JSON is an ERROR, what is no object is passed over."""
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{json,jsonl}")
+    lines = files.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
+    split = lines.where(F.col("file").endswith(".jsonl")).select("file", F.posexplode(F.split("value", r"\r?\n")).alias("n", "value")).where(squeeze(F.col("value")) != "").select("file", (F.col("n") + 1).alias("line"), "value")
+    each = split.unionByName(lines.where(F.col("file").endswith(".json")).select("file", F.lit(None).cast("int").alias("line"), "value"))
+    v = each.withColumn("v", F.try_parse_json("value"))
+    kind = F.schema_of_variant("v")
+    view = f"__tree_{id(each)}"
+    v.where(kind.startswith("ARRAY") & ~F.col("file").endswith(".jsonl")).createOrReplaceTempView(view)
+    entries = spark.sql(f"SELECT t.file, e.value AS v FROM {view} t, LATERAL variant_explode(t.v) AS e")
+    spark.catalog.dropTempView(view)
+    records = v.select("file", "v").unionByName(entries).where(F.schema_of_variant("v").startswith("OBJECT")).select("file", F.to_json("v").alias("raw"))
+    wrong = v.where("v is null").select(F.lit("ERROR").alias("severity"), "file", F.concat_ws(" ", F.lit("invalid JSON"), F.concat(F.lit("in line "), F.col("line").cast("string"))).alias("detail"))
+    return records, wrong
+
+
 def successions(rows: DataFrame, retired: str, successors: str) -> DataFrame:
     """(``retired``, ``successors``) of a table whose successors are ``;``-separated."""
     parts = F.filter(F.transform(F.split(successors, ";"), squeeze), lambda x: x != "")

@@ -245,3 +245,55 @@ def test_components_and_chains_against_plain_code(spark):
     assert all(ends[i] == (100, False) for i in range(100)) and ends[200] == ends[201] == ends[202] == (None, True)
     cycles = graph.cycle_members(chain.select(col("node").alias("src"), col("target").alias("dst")))
     assert rows(cycles.select("node", "cycle")) == [(201, 201), (202, 201)]
+
+
+def test_files_of_json_in_every_shape(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "a.jsonl").write_text('{"id": 1}\n\n{"id": 2}\nno json\n[3]\n')
+    (tmp_path / "sub" / "b.json").write_text('[{"id": 4}, 5, {"id": {"x": [1]}}]')
+    (tmp_path / "c.json").write_text('{\n "id": 6\n}')
+    (tmp_path / "d.json").write_text("{")
+    (tmp_path / "e.txt").write_text("{}")
+    records, wrong = ledger.read_json_tree(spark, str(tmp_path))
+    assert rows(records) == [("a.jsonl", '{"id":1}'), ("a.jsonl", '{"id":2}'), ("b.json", '{"id":4}'), ("b.json", '{"id":{"x":[1]}}'), ("c.json", '{"id":6}')]
+    assert sorted((x["file"], x["detail"]) for x in wrong.collect()) == [("a.jsonl", "invalid JSON in line 4"), ("d.json", "invalid JSON")]
+
+
+def test_metadata_of_a_layer(spark, tmp_path):
+    assert ledger.read_metadata(spark, str(tmp_path)) == {"corpus": None, "version": None, "cutoff": None, "declared_state": None, "counts": None}
+    (tmp_path / "VERSION").write_text("1.2.0\n")
+    (tmp_path / "manifest.json").write_text('{"corpus": "c", "fecha_de_corte_bibliografico": "2024", "counts": {"a": 1}}')
+    assert ledger.read_metadata(spark, str(tmp_path)) == {"corpus": "c", "version": "1.2.0", "cutoff": "2024", "declared_state": None, "counts": {"a": 1}}
+
+
+def test_unknown_ledger_files_are_reported(spark, tmp_path):
+    (tmp_path / "claims.jsonl").write_text('{"id": "CLAIM-000001"}\n')
+    (tmp_path / "strange.jsonl").write_text('{"id": "X-000001"}\n')
+    data, found = ledger.read_ledger(spark, str(tmp_path))
+    assert data["claims"].count() == 1 and [(x["rule"], x["file"]) for x in found.collect()] == [("SCH4", "strange.jsonl")]
+
+
+def test_composed_forms_and_codes(spark):
+    df = spark.createDataFrame([(" é  x ",), ("plain  text",), (None,), ("(H24 del corredor) more",)], "s string")
+    got = df.select(t.proposal_form(col("s")).alias("form"), t.hypothesis_code(col("s")).alias("code")).collect()
+    assert [tuple(x) for x in got] == [("é x", None), ("plain text", None), (None, None), ("(H24 del corredor) more", "H24")]
+
+
+def test_the_start_of_a_log_by_its_hash(spark):
+    import hashlib
+
+    from stratiq.plans import freezing
+
+    lines = [f"entry {i} ü" for i in range(40)]
+    log = spark.createDataFrame(list(enumerate(lines)), "seq long, line string").repartition(5)
+    sha = hashlib.sha256("".join(x + "\n" for x in lines[:17]).encode()).hexdigest()
+    assert rows(freezing.known_prefix(log, sha)) == [(17,)] and rows(freezing.known_prefix(log, "none")) == []
+
+
+def test_inputs_of_change_sets(spark):
+    from stratiq.plans import freezing
+
+    log = spark.createDataFrame([(1, "d1", "apply"), (2, "d1", "revert"), (3, "d2", "apply")], "seq long, delta string, action string")
+    deltas = spark.createDataFrame([("d1", "p", "old"), ("d2", "p", "new"), ("d3", "q", "h"), ("d4", "r", "h")], "delta string, path string, sha256 string")
+    files = spark.createDataFrame([("p", "new"), ("q", "other")], "path string, sha256 string")
+    assert rows(freezing.altered_inputs(deltas, log, files)) == [("d3", "q", "not what was recorded"), ("d4", "r", "gone")]
