@@ -48,7 +48,7 @@ class PieceCounts(dict):
         self._encoding = tiktoken.Encoding("counts", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
 
     def __missing__(self, piece: str) -> int:
-        n = len(self._encoding._encode_single_piece(piece.encode("utf-8", "replace")))
+        n = len(self._encoding.encode_ordinary(piece))
         if len(self) < CACHE:
             self[piece] = n
         return n
@@ -147,9 +147,12 @@ class CountTree:
         sizes = head[0][:k] + [len(p) for p in fresh] + tail[0][j:]
         numbers = head[1][:k] + counts.of(fresh) + tail[1][j:]
         stop = min(last + 1, len(self.leaves))
-        if stop - leaf == 1 and 0 < len(sizes) <= 2 * LEAF:
-            self.leaves[leaf] = (sizes, numbers)
-            self._set(leaf)
+        touched = stop - leaf
+        if touched <= len(sizes) <= 2 * LEAF * touched:  # the same leaves hold what is new: only sums above them change
+            cuts = [len(sizes) * i // touched for i in range(touched + 1)]
+            for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                self.leaves[leaf + i] = (sizes[a:b], numbers[a:b])
+                self._set(leaf + i)
         else:
             parts = [(sizes[i : i + LEAF], numbers[i : i + LEAF]) for i in range(0, len(sizes), LEAF)]
             self.leaves[leaf:stop] = parts

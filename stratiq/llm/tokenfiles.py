@@ -28,9 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-NULL_ID = -(2**63)
 CACHE = 500_000
-MANIFEST = "part long, n_docs long, n_tokens long, doc_base long, token_base long"
+MANIFEST = "part long, n_docs long, n_tokens long, n_null long, doc_base long, token_base long"
 #: Characters beyond the ranges below, and marks of special tokens.
 _UNUSUAL = re.compile("[\x00-\x08\x0b-\x1f\x7f-\xa0ɐ-\U0010ffff]|<\\|")
 #: The byte-level pre-tokeniser's pattern for texts without such characters:
@@ -95,11 +94,14 @@ def write_tokens(docs: DataFrame, out_dir: str, tokenizer_path: str, *, end_id:
 
     ``wide`` stores 32-bit ids; otherwise all ids must be below 65,536.
     Null texts are empty: only ``end_id`` is stored.  Repeated ids stand in
-    the order of their texts; null ids come first.  An empty table gives an
-    empty manifest.
+    the order of their texts; null ids come first (a part's manifest row says
+    how many of its documents have none).  Texts of any length are encoded
+    whole.  An empty table gives an empty manifest; columns other than the two
+    named are not read.
     """
-    narrow = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    dealt = narrow.repartitionByRange("id", F.xxhash64("text")).sortWithinPartitions("id", F.xxhash64("text"))
+    narrow = docs.select(F.col(id_col).isNotNull().alias("named"), F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    order = ["named", "id", F.xxhash64("text")]
+    dealt = narrow.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
@@ -108,7 +110,7 @@ def write_tokens(docs: DataFrame, out_dir: str, tokenizer_path: str, *, end_id:
         encode = encoder(tokenizer_path, wide).encode
         end = np.array([end_id], "<u4" if wide else "<u2").tobytes()
         width = len(end)
-        ids, offsets, at = array("q"), array("Q", [0]), 0
+        ids, offsets, at, nulls = array("q"), array("Q", [0]), 0, 0
         first = next(batches, None)
         if first is None:
             return
@@ -117,8 +119,9 @@ def write_tokens(docs: DataFrame, out_dir: str, tokenizer_path: str, *, end_id:
         with store.open_output_stream(f"{name}.bin.{attempt}") as out:
             batch: pa.RecordBatch | None = first
             while batch is not None:
-                ids.extend(batch.column(0).to_pylist())
-                for text in batch.column(1):
+                nulls += batch.num_rows - batch.column(0).true_count
+                ids.extend(batch.column(1).to_pylist())
+                for text in batch.column(2):
                     data = encode(text.as_py()) + end
                     out.write(data)
                     at += len(data) // width
@@ -129,9 +132,9 @@ def write_tokens(docs: DataFrame, out_dir: str, tokenizer_path: str, *, end_id:
                 out.write(values.tobytes())
         for kind in ("bin", "off", "ids"):
             store.move(f"{name}.{kind}.{attempt}", f"{name}.{kind}")
-        yield pa.RecordBatch.from_pydict({"part": [part], "n_docs": [len(ids)], "n_tokens": [at]})
+        yield pa.RecordBatch.from_pydict({"part": [part], "n_docs": [len(ids)], "n_tokens": [at], "n_null": [nulls]})
 
-    parts = sorted(tuple(r) for r in dealt.mapInArrow(run, "part long, n_docs long, n_tokens long").collect())  # a row per part file
+    parts = sorted(tuple(r) for r in dealt.mapInArrow(run, "part long, n_docs long, n_tokens long, n_null long").collect())  # a row per part file
     doc_base = [0, *accumulate(p[1] for p in parts)]
     token_base = [0, *accumulate(p[2] for p in parts)]
     spark = docs.sparkSession
@@ -163,6 +166,6 @@ def read_tokens(spark: SparkSession, out_dir: str, *, wide: bool = False) -> Dat
                     off = offsets[lo : lo + 8193].astype(np.int64)
                     crc = [zlib.crc32(tokens[a:b].astype("<u4").tobytes()) for a, b in zip(off[:-1], off[1:], strict=True)]
                     some = np.asarray(ids[lo : lo + 8192])
-                    yield pa.RecordBatch.from_pydict({"doc_id": pa.array(some, mask=some == NULL_ID), "start": off[:-1] + row["token_base"], "n_tokens": np.diff(off), "ids_crc32": pa.array(crc, pa.int64())})
+                    yield pa.RecordBatch.from_pydict({"doc_id": pa.array(some, mask=np.arange(lo, lo + len(some)) < row["n_null"]), "start": off[:-1] + row["token_base"], "n_tokens": np.diff(off), "ids_crc32": pa.array(crc, pa.int64())})
 
     return manifest.repartition(n).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -433,16 +433,16 @@ def test_token_files_round_trip(spark, docs, odd, nothing):
 
     path = tokenizer_path()
     tokenizer = Tokenizer.from_file(path)
-    special = spark.createDataFrame([(900, "x <|endoftext|> y"), (901, "日本語 text\x85\x1f   mixed 😀 don't I'LL 've"), (902, "a" * 30000)], "doc_id long, text string")
+    special = spark.createDataFrame([(-(2**63), "the least id"), (-5, "below"), (900, "x <|endoftext|> y"), (901, "日本語 text\x85\x1f   mixed 😀 don't I'LL 've"), (902, "a" * 30000)], "doc_id long, text string")
     df = odd.select("doc_id", "text").unionByName(special).unionByName(docs.select((F.col("doc_id") + 5000).alias("doc_id"), "text"))
     for wide in (False, True):
         out = scratch_path(spark, "test-tokens")
         tokenfiles.write_tokens(df, out, path, wide=wide)
-        got = sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["start"], r["n_tokens"], r["ids_crc32"]) for r in tokenfiles.read_tokens(spark, out, wide=wide).collect())
+        got = sorted((r["doc_id"] if r["doc_id"] is not None else -(2**64), r["start"], r["n_tokens"], r["ids_crc32"]) for r in tokenfiles.read_tokens(spark, out, wide=wide).collect())
         want = Counter()
         for r in df.collect():
             ids = tokenizer.encode(r["text"] or "", add_special_tokens=False).ids + [2]
-            want[r["doc_id"] if r["doc_id"] is not None else -1, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())] += 1
+            want[r["doc_id"] if r["doc_id"] is not None else -(2**64), len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())] += 1
         assert Counter((i, n, c) for i, _, n, c in got) == want
         at = 0
         for _, start, n, _ in got:
