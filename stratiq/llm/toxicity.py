@@ -44,7 +44,7 @@ TAIL = b" " + bytes(range(22, 31))
 SPREAD = 10  # differences are clipped to +-SPREAD
 LENGTHS = (5, 6, 7, 8)  # bytes of a toxic string
 FLOORS = (24.0, 64.0, 192.0)  # evidence a toxic string needs, chosen between on the training rows
-FOLDS = 4
+FOLDS = 3
 VALIDATED = 3  # all toxic rows and one in so many ordinary ones choose the evidence
 BASE_BYTES = 8192
 SAMPLE_BYTES = 160  # of one training sample of ordinary prose
