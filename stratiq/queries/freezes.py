@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stratiq.plans import findings, freezing
+from stratiq.plans.rules import state
 from stratiq.queries.registry import query
 from stratiq.sources.ledger import dataset
 
@@ -127,4 +128,4 @@ def conservation(d):
     data = dataset(d.spark, {"claims": [{"id": "CLAIM-000001"}], "events": [{"id": "EVENT-000001"}]})
     regions = d.region.agg(F.count(F.lit(1)).alias("n"))
     data["snapshot-counts"] = regions.select(F.lit("claims").alias("grp"), col("n").alias("was"), F.lit(1).alias("undone")).unionByName(regions.select(F.lit("events").alias("grp"), col("n").alias("was"), (col("n") - 1).alias("undone")))
-    return findings.run(data, ("state",)).where("rule = 'STA1'").select("rule", "record_id", "severity")
+    return findings.shaped(state.conservation(data), "state", "STA1").select("rule", "record_id", "severity")
