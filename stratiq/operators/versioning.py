@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stratiq.functions import text as t
 from stratiq.operators.relational import mutual_first
-from stratiq.session import settled
+from stratiq.session import dealt, settled
 
 
 def check_delta(ledger: DataFrame, ops: DataFrame, reverse: bool = False) -> DataFrame:
@@ -117,7 +117,7 @@ def match_rows(old: DataFrame, new: DataFrame) -> DataFrame:
     left, preferring same id, same section and nearness.
     """
     def left_over(df: DataFrame, pairs: DataFrame | None, side: str) -> DataFrame:
-        return df if pairs is None else df.join(pairs.select(F.col(side).alias("id")), "id", "left_anti")
+        return df if pairs is None else df.join(dealt(pairs.select(F.col(side).alias("id"))), "id", "left_anti")
 
     keys = [
         ("same", lambda: F.concat_ws("\x00", "id", "content")),
@@ -128,21 +128,21 @@ def match_rows(old: DataFrame, new: DataFrame) -> DataFrame:
     for how, key in keys:
         o, n = left_over(old, pairs, "old"), left_over(new, pairs, "new")
         side = lambda df, s: df.select(key().alias("k"), *[F.col(c).alias(f"{s}_{c}") for c in ("id", "section", "pos")])
-        met = side(o, "o").join(side(n, "n"), "k")
+        met = side(o, "o").join(dealt(side(n, "n")), "k")
         order = [F.col("o_id") != F.col("n_id"), F.col("o_section") != F.col("n_section"), F.abs(F.col("o_pos") - F.col("n_pos")), "o_id", "n_id"]
         found = mutual_first(met, "o_id", "n_id", order).select(F.col("o_id").alias("old"), F.col("n_id").alias("new"), F.lit(how).alias("how"))
         pairs = settled(found if pairs is None else pairs.unionByName(found))  # each turn starts from files
 
     def gaps(df: DataFrame, s: str) -> DataFrame:
-        known = df.join(pairs.select(F.col(s).alias("id"), F.lit(1).alias("m"), *([F.col("old").alias("anchor")])), "id", "left")
-        w = Window.partitionBy("section").orderBy("pos")
-        run = known.withColumn("after", F.last("anchor", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        run = run.withColumn("before", F.first("anchor", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))).where("m is null")
+        known = df.join(dealt(pairs.select(F.col(s).alias("id"), F.lit(1).alias("m"), F.col("old").alias("anchor"))), "id", "left")
+        ahead, back = Window.partitionBy("section").orderBy("pos", "id"), Window.partitionBy("section").orderBy(F.desc("pos"), F.desc("id"))
+        so_far = lambda w: F.last("anchor", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        run = known.withColumn("after", so_far(ahead)).withColumn("before", so_far(back)).where("m is null")  # a frame to the end would be read anew for each row
         inside = Window.partitionBy("section", "after", "before")
-        return run.select("id", "section", F.coalesce("after", F.lit("")).alias("after"), F.coalesce("before", F.lit("")).alias("before"), F.row_number().over(inside.orderBy("pos")).alias("i"), F.count(F.lit(1)).over(inside).alias("size"))
+        return run.select("id", "section", F.coalesce("after", F.lit("")).alias("after"), F.coalesce("before", F.lit("")).alias("before"), F.row_number().over(inside.orderBy("pos", "id")).alias("i"), F.count(F.lit(1)).over(inside).alias("size"))
 
     a, b = gaps(old, "old").withColumnRenamed("id", "old"), gaps(new, "new").withColumnRenamed("id", "new")
-    filled = a.join(b, ["section", "after", "before", "i", "size"]).select("old", "new", F.lit("in place").alias("how"))
+    filled = a.join(dealt(b), ["section", "after", "before", "i", "size"]).select("old", "new", F.lit("in place").alias("how"))
     return settled(pairs.unionByName(filled))
 
 
@@ -151,9 +151,9 @@ def version_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     pairs = match_rows(old, new)
     o, n = old.select(F.col("id").alias("old"), F.col("content").alias("oc")), new.select(F.col("id").alias("new"), F.col("content").alias("nc"))
     kind = F.when(F.col("oc") == F.col("nc"), F.when(F.col("old") == F.col("new"), "unchanged").otherwise("renumbered")).when(t.mask_citations(F.col("oc")) == t.mask_citations(F.col("nc")), "renumbered").otherwise("modified")
-    both = pairs.join(o, "old").join(n, "new").select(F.col("new").alias("id"), kind.alias("change"))
-    gone = old.join(pairs.select(F.col("old").alias("id")), "id", "left_anti").select("id", F.lit("retired").alias("change"))
-    fresh = new.join(pairs.select(F.col("new").alias("id")), "id", "left_anti").select("id", F.lit("new").alias("change"))
+    both = pairs.join(dealt(o), "old").join(dealt(n), "new").select(F.col("new").alias("id"), kind.alias("change"))
+    gone = old.join(dealt(pairs.select(F.col("old").alias("id"))), "id", "left_anti").select("id", F.lit("retired").alias("change"))
+    fresh = new.join(dealt(pairs.select(F.col("new").alias("id"))), "id", "left_anti").select("id", F.lit("new").alias("change"))
     return both.unionByName(gone).unionByName(fresh)
 
 
