@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratiq.session import dealt, settled
+
 #: Units that convert to years, and the origins that count back.
 UNIT_YEARS = {"years": 1.0, "thousand_years": 1e3, "million_years": 1e6, "calibrated_years": 1.0}
 AGO_REFERENCES = ("before_present", "before_2000_ce", "not_stated")
+#: Rows (some 60 bytes each) of a side of an overlap join that may be sent to all executors.
+SENT = 100_000
 
 
 def unit_years(unit: Column) -> Column:
@@ -50,28 +52,45 @@ def overlap_join(left: DataFrame, right: DataFrame, width: float | None = None,
 
     An interval stands on the level at which a bucket (of ``width``, doubled
     with each level; the mean length by default) is as long as it is, and in
-    the two buckets at most that it touches there and on each level above.  A
-    pair meets on the higher of its levels and is reported in the first bucket
-    it shares, so it appears once without a distinct and without a nested-loop
-    join, however long an interval is."""
+    the two buckets at most that it touches there and on each level above that
+    is one of the other side's own.  A pair meets on the higher of its levels
+    and is reported in the first bucket it shares, so it appears once without
+    a distinct and without a nested-loop join, however long an interval is.
+
+    Only a side of at most ``SENT`` rows in buckets is sent to all executors."""
+    left, right = (settled(df.select("id", "young", "old", *([key] if key else []))) for df in (left, right))
     known = left.select("young", "old").unionByName(right.select("young", "old"))
     low, high, mean = known.agg(F.least(F.min("young"), F.min("old")), F.greatest(F.max("young"), F.max("old")), F.avg(F.col("old") - F.col("young"))).head()
     low, high = (0.0, 0.0) if low is None else (float(low), float(high))
     width = float(width or mean or 0) if (width or mean or 0) > 0 else 1.0
-    levels = max(0, math.ceil(math.log2(max((high - low) / width, 1))))
 
-    def dealt(df: DataFrame, side: str) -> DataFrame:
+    def placed(df: DataFrame, side: str) -> DataFrame:
         cols = [F.col(c).alias(f"{side}_{c}") for c in ("id", "young", "old")] + ([F.col(key).alias("k")] if key else [])
         begin, end = F.coalesce(F.col("young").cast("double"), F.lit(low)), F.coalesce(F.col("old").cast("double"), F.lit(high))
         own = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest((end - begin) / width, F.lit(1.0)))).cast("int"))
         sound = df.where(F.col("young").isNull() | F.col("old").isNull() | (F.col("young") <= F.col("old")))
-        each = sound.select(*cols, begin.alias("begin"), end.alias("end"), own.alias(f"{side}_level"))
-        each = each.select("*", F.explode(F.sequence(F.col(f"{side}_level"), F.greatest(F.col(f"{side}_level"), F.lit(levels)))).alias("level"))
+        return sound.select(*cols, begin.alias("begin"), F.greatest(begin, end).alias("end"), own.alias(f"{side}_level"))
+
+    a, b = placed(left, "left"), placed(right, "right")
+    counts = [{r[0]: r[1] for r in df.groupBy(f"{side}_level").count().collect()} for df, side in ((a, "left"), (b, "right"))]  # a row per level
+
+    def in_buckets(df: DataFrame, side: str, others: dict[int, int]) -> DataFrame:
+        own = F.col(f"{side}_level")
+        above = F.array(*[F.lit(x) for x in sorted(others)]).cast("array<int>")
+        met = F.filter(above, lambda x: x > own)
+        each = df.select("*", F.explode(F.when(own >= min(others, default=0), F.array_append(met, own)).otherwise(met)).alias("level"))
         size = F.lit(width) * F.pow(F.lit(2.0), F.col("level"))
-        first, last = F.floor(F.col("begin") / size), F.floor(F.greatest("begin", "end") / size)
+        first, last = F.floor(F.col("begin") / size), F.floor(F.col("end") / size)
         return each.select("*", first.alias(f"{side}_first"), F.explode(F.sequence(first, last)).alias("bucket")).drop("begin", "end")
 
-    a, b = dealt(left, "left"), dealt(right, "right")
+    most = [2 * n * (len(other) + 1) for n, other in ((sum(counts[0].values()), counts[1]), (sum(counts[1].values()), counts[0]))]
+    a, b = in_buckets(a, "left", counts[1]), in_buckets(b, "right", counts[0])
+    if min(most) > SENT:
+        a = dealt(a)
+    elif most[0] < most[1]:
+        a = F.broadcast(a)
+    else:
+        b = F.broadcast(b)
     met = a.join(b, ["level", "bucket", *(["k"] if key else [])])
     met = met.where((F.col("level") == F.greatest("left_level", "right_level")) & (F.col("bucket") == F.greatest("left_first", "right_first")))
     return met.where(overlaps(*(F.col(c) for c in ("left_old", "left_young", "right_old", "right_young")))).select("left_id", "right_id")

@@ -80,6 +80,17 @@ def test_overlap_join(spark):
         assert rows(temporal.overlap_join(a, b, width)) == [(1, 7), (1, 8), (2, 8)]
 
 
+def test_overlap_join_sends_no_large_side(spark, monkeypatch):
+    few = spark.range(3_000_000).groupBy((col("id") % 25).alias("id")).agg(F.lit(0.0).alias("young"), F.max("id").cast("double").alias("old"))
+    many = spark.range(200_000).select("id", col("id").cast("double").alias("young"), (col("id") + 1).cast("double").alias("old"))
+    met = temporal.overlap_join(few, many, 64.0)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "BuildLeft" in plan and "BuildRight" not in plan and met.count() == 25 * 200_000
+    monkeypatch.setattr(temporal, "SENT", 0)
+    met = temporal.overlap_join(many.where("id < 500"), many.where("id >= 400 and id < 900"), 7.0)
+    assert "BroadcastHashJoin" not in met._jdf.queryExecution().executedPlan().toString() and met.count() == 100 + 99 + 101
+
+
 def test_open_bounds(spark):
     hit = lambda *x: one(spark, temporal.overlaps(*[lit(v).cast("double") for v in x]))
     assert hit(10, None, 3, 1) and hit(None, 5, 6, None) and not hit(4, 2, 9, 5) and hit(None, None, 1, 0)
