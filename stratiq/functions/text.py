@@ -21,6 +21,7 @@ ID_PREFIXES = (
     "TECH", "ECOSYS", "METHOD", "MOL", "RESEARCHER", "CONFLICT",
 )
 ID_PATTERN = r"\b(" + "|".join(ID_PREFIXES) + r")-[0-9]{6}\b"
+LONG_ID_PATTERN = ID_PATTERN.replace("{6}", "{6,}")  # also of ids past the millionth, which are not well-formed but lead to their records
 
 #: Accents, quotes and dashes that comparison ignores (NFKD without marks, for Latin script).
 ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüçñýÿÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÇÑÝ’‘“”–—−"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiq.functions.text import folded, id_prefix, ids_in
+from stratiq.functions.text import LONG_ID_PATTERN, folded, id_prefix, ids_in
 from stratiq.operators.graph import pointer_ends
 from stratiq.plans.findings import Ledger, both, found, rule
 from stratiq.sources.ledger import active, ledger
@@ -146,7 +146,7 @@ def merges(data: Ledger) -> DataFrame:
     e = entities(data)
     every = ledger(data).select(col("id").alias("target"), col("record_status").alias("target_status")).dropDuplicates(["target"])
     survivors = e.select(col("id").alias("survivor"), F.explode("alias_ids").alias("id")).groupBy("id").agg(F.min("survivor").alias("survivor"))
-    noted = ledger(data).where(col("record_status") == "merged").select("file", "id", F.try_element_at(F.filter(ids_in(F.concat_ws(" ", F.get_json_object("raw", "$.merged_into"), F.get_json_object("raw", "$.notes"))), lambda x: x != col("id")), F.lit(1)).alias("noted"))
+    noted = ledger(data).where(col("record_status") == "merged").select("file", "id", F.try_element_at(F.filter(ids_in(F.concat_ws(" ", F.get_json_object("raw", "$.merged_into"), F.get_json_object("raw", "$.notes")), LONG_ID_PATTERN), lambda x: x != col("id")), F.lit(1)).alias("noted"))
     to = noted.join(survivors, "id", "left").select("file", "id", F.coalesce("survivor", "noted").alias("target"))
     met = to.join(every, "target", "left")
     ends = pointer_ends(to.where("target is not null").select(col("id").alias("node"), "target"))
