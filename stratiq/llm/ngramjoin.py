@@ -18,7 +18,8 @@
    overlaps are shared, and subtrees whose remaining lengths cannot reach the
    overlap needed are pruned.  The sets are made of the texts' real words, not
    of hashes.  A class with many candidates meets them in several tasks.
-6. *Components* of the links give the groups.
+6. *Components* of the links give the groups: of ``FEW_LINKS`` at most in one
+   pass on the driver, of more by star steps.
 
 Hashes decide what is looked at (equal n-grams have equal hashes, so nothing
 is lost); every link is decided on real words.
@@ -47,6 +48,7 @@ CHUNK_KEYS = 1 << 20
 FILTER_BITS = (20, 28)  # of the bitmap of asked ids: least and most
 PROBE_ROWS = 256  # candidates that one task compares with a set
 BUFFER_BYTES = 2_000_000
+FEW_LINKS = 1 << 16  # that one pass over them on the driver groups
 _TABLE = separators()
 _FOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -326,18 +328,18 @@ def link_documents(docs: DataFrame, *, size: int = 3, numerator: int = 90, denom
     star = shared.where(col("rep") != col("c_rep")).where(possible(col("n"), col("pos"), col("c_n"), col("c_pos")))
     first = _verified(star.select(col("c_rep").alias("a"), col("rep").alias("b")).distinct(), narrow, ordering, size, num, den)
     first = materialise(first, "links", few=True)
-    groups = components(first)
+    groups = components(first, few=FEW_LINKS)
     one, other = groups.select(col("node").alias("rep"), col("component").alias("g")), groups.select(col("node").alias("c_rep"), col("component").alias("cg"))
     named = shared.join(one, "rep", "left").join(other, "c_rep", "left").withColumn("g", F.coalesce("g", "rep")).withColumn("cg", F.coalesce("cg", "c_rep"))
     named = materialise(named.select("key", "rep", "n", "pos", "c_rep", "g", (col("g") != col("cg")).alias("apart")), "named", few=True)
     s, o = named.where("apart").alias("s"), named.alias("o")
     meet = (col("s.key") == col("o.key")) & (col("s.g") != col("o.g")) & (col("o.rep") != col("s.c_rep")) & (~col("o.apart") | (col("s.rep") < col("o.rep")))
     rest = s.join(o, meet & possible(col("s.n"), col("s.pos"), col("o.n"), col("o.pos"))).select(col("s.rep").alias("a"), col("o.rep").alias("b"))
-    links = first.unionByName(_verified(rest.distinct(), narrow, ordering, size, num, den))
+    links = groups.where("node <> component").select(col("node").alias("u"), col("component").alias("v")).unionByName(_verified(rest.distinct(), narrow, ordering, size, num, den))
     texts_of = usable.groupBy("doc_id").agg(F.min("sig").alias("one"), F.max("sig").alias("other")).where("one <> other").select("doc_id")
     reps = usable.groupBy("sig").agg(F.min("doc_id").alias("rep"))
     joined = usable.select("doc_id", "sig").join(texts_of, "doc_id").join(reps, "sig").where("doc_id <> rep").select(F.least("doc_id", "rep").alias("u"), F.greatest("doc_id", "rep").alias("v"))
-    groups = components(links.unionByName(joined.distinct()))
+    groups = components(links.unionByName(joined.distinct()), few=FEW_LINKS)
 
     class_groups = reps.join(groups, col("rep") == col("node"), "left").select("sig", "rep", F.coalesce("component", "rep").alias("component"))
     out = made.select("doc_id", "n", "sig").join(class_groups, "sig", "left")

@@ -49,6 +49,7 @@ VALIDATED = 3  # all toxic rows and one in so many ordinary ones choose the evid
 BASE_BYTES = 8192
 SAMPLE_BYTES = 160  # of one training sample of ordinary prose
 TRAIN_SAMPLES = 12_000
+GROUP = 128  # toxic texts whose strings are counted at once
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -132,16 +133,31 @@ def _packed(raw: np.ndarray, n: int) -> np.ndarray:
     return packed
 
 
-def _running(words: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b" " + b" ".join(words), np.uint8)
+def running(text: str | None) -> bytes:
+    """The words of a text, each after a blank.  The training sample is held in
+    this form: a list of its words takes several times the memory."""
+    return b" " + b" ".join(words_of(text))
 
 
-def _grams(words: list[bytes], n: int) -> np.ndarray:
+def _grams(text: bytes, n: int) -> np.ndarray:
     """Distinct ``n``-byte strings without inner white space, as integers."""
-    found = np.unique(_packed(_running(words), n))
+    found = np.unique(_packed(np.frombuffer(text, np.uint8), n))
     return found[1:] if len(found) and not found[0] else found
 
 
+def _shared_grams(texts: list[bytes], n: int) -> np.ndarray:
+    """The strings that two texts or more hold, counted over ``GROUP`` texts at a time."""
+    grams, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+    for at in range(0, len(texts), GROUP):
+        more, seen = np.unique(np.concatenate([_grams(t, n) for t in texts[at : at + GROUP]]), return_counts=True)
+        where = np.searchsorted(grams, more)
+        known = np.zeros(len(more), bool)
+        known[where < len(grams)] = grams[where[where < len(grams)]] == more[where < len(grams)]
+        counts[where[known]] += seen[known]
+        grams, counts = np.insert(grams, where[~known], more[~known]), np.insert(counts, where[~known], seen[~known])
+    return grams[counts >= 2]
+
+
 @dataclass(frozen=True)
 class Strings:
     """Strings of toxic texts, and in how many texts of each class and fold they stand."""
@@ -151,16 +167,15 @@ class Strings:
     sizes: np.ndarray  # texts, (ordinary and toxic, FOLDS)
 
 
-def strings_of(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> Strings:
+def strings_of(toxic: list[bytes], ordinary: list[bytes]) -> Strings:
     sizes = np.array([[len(texts[f::FOLDS]) for f in range(FOLDS)] for texts in (ordinary, toxic)])
     found, counted = [], []
     for n in LENGTHS:
-        grams, counts = np.unique(np.concatenate([_grams(w, n) for w in toxic]), return_counts=True)
-        grams = grams[counts >= 2]
+        grams = _shared_grams(toxic, n)
         there = np.zeros((2, FOLDS, len(grams)), np.int32)
         for label, texts in enumerate((ordinary, toxic) if len(grams) else ()):
-            for i, w in enumerate(texts):
-                own = _grams(w, n)
+            for i, text in enumerate(texts):
+                own = _grams(text, n)
                 at = np.searchsorted(grams, own)
                 at = at[(at < len(grams)) & (grams[np.minimum(at, len(grams) - 1)] == own)]
                 there[label, i % FOLDS, at] += 1
@@ -205,17 +220,17 @@ def _trained(samples: list[bytes], size: int) -> bytes:
     return b"".join(samples)[-size:]
 
 
-def dictionaries(toxic: list[list[bytes]], ordinary: list[list[bytes]], marks: list[np.ndarray]) -> tuple[bytes, bytes]:
+def dictionaries(toxic: list[bytes], ordinary: list[bytes], marks: list[np.ndarray]) -> tuple[bytes, bytes]:
     """The toxic and the ordinary dictionary."""
     stretches: list[bytes] = []
-    for words in toxic:
-        raw = _running(words)
+    for text in toxic:
+        raw = np.frombuffer(text, np.uint8)
         inside = np.diff(np.concatenate([[False], covered(raw, marks), [False]]).astype(np.int8))
         stretches += [raw[a:b].tobytes() for a, b in zip(np.flatnonzero(inside == 1).tolist(), np.flatnonzero(inside == -1).tolist(), strict=True)]
     samples = [b"".join(stretches[i : i + 8]) for i in range(0, len(stretches), 8)]
     plain: list[bytes] = []
-    for words in ordinary:
-        raw = _running(words)
+    for text in ordinary:
+        raw = np.frombuffer(text, np.uint8)
         clean = np.where(covered(raw, marks), np.uint8(32), raw).astype(np.uint8).tobytes()
         plain += [clean[i : i + SAMPLE_BYTES] for i in range(0, len(clean), SAMPLE_BYTES)]
         if len(plain) >= 2 * TRAIN_SAMPLES:
@@ -232,7 +247,7 @@ def train(toxic_texts: list[str], ordinary_texts: list[str]) -> Model:
     flat = Model(b"", b"", (0.0,) * (2 * SPREAD + 1), float(np.log(prior / (1 - prior))))
     if not toxic_texts or not ordinary_texts:
         return flat
-    toxic, ordinary = [words_of(t) for t in toxic_texts], [words_of(t) for t in ordinary_texts]
+    toxic, ordinary = [running(t) for t in toxic_texts], [running(t) for t in ordinary_texts]
     strings = strings_of(toxic, ordinary)
     y = np.array([1] * len(toxic) + [0] * len(ordinary))
     fold = np.concatenate([np.arange(len(toxic)) % FOLDS, np.arange(len(ordinary)) % FOLDS])
@@ -245,10 +260,10 @@ def train(toxic_texts: list[str], ordinary_texts: list[str]) -> Model:
         for f in range(FOLDS):
             others = [k for k in range(FOLDS) if k != f]
             marks = toxic_strings(strings, others, floor * len(others) / FOLDS)
-            kept = [[w for i, w in enumerate(texts) if i % FOLDS != f] for texts in (toxic, ordinary)]
+            kept = [[t for i, t in enumerate(texts) if i % FOLDS != f] for texts in (toxic, ordinary)]
             differences = Differences(*dictionaries(*kept, marks))
             for i in rows[fold[rows] == f]:
-                x[i] = shares(differences.of(toxic[i] if i < len(toxic) else ordinary[i - len(toxic)]))
+                x[i] = shares(differences.of((toxic[i] if i < len(toxic) else ordinary[i - len(toxic)]).split()))
         return _logistic(x[rows], y[rows], fold[rows])
 
     floor = min(FLOORS, key=lambda v: fitted(v, some)[2])

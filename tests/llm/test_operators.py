@@ -1,6 +1,7 @@
 """The training-data operators against brute force, and on awkward tables."""
 
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -288,6 +289,27 @@ def test_toxicity_by_marks_that_ordinary_texts_hold_too():
     assert hit[True, 1] >= 45 and hit[True, 0] <= 12  # of 50 and 250
 
 
+def test_training_takes_little_more_memory_than_its_texts(monkeypatch):
+    monkeypatch.setattr(toxicity, "FLOORS", (24.0,))
+    rng = np.random.default_rng(12)
+    made = [" ".join("".join(map(chr, rng.integers(97, 123, 5))) for _ in range(800)) for _ in range(500)]
+    tracemalloc.start()
+    toxicity.train(made[:400], made[400:])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 15 * sum(map(len, made))
+
+
+def test_strings_of_two_texts_or_more_are_counted_group_by_group(monkeypatch):
+    monkeypatch.setattr(toxicity, "GROUP", 3)
+    rng = np.random.default_rng(13)
+    texts = [toxicity.running(" ".join("".join(rng.choice(list("abc"), rng.integers(1, 9))) for _ in range(rng.integers(0, 9)))) for _ in range(20)]
+    for n in toxicity.LENGTHS:
+        held = Counter(g for t in texts for g in {t[i : i + n] for i in range(len(t) - n + 1) if b" " not in t[i + 1 : i + n]})
+        assert toxicity._shared_grams(texts, n).tolist() == sorted(int.from_bytes(g, "big") for g, k in held.items() if k >= 2)
+    assert toxicity._shared_grams([toxicity.running(None)], 5).tolist() == []
+
+
 def test_scores_are_those_of_plainly_compressed_windows(spark, docs):
     model = toxicity.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
     params = zstandard.ZstdCompressionParameters(window_log=17, chain_log=14, hash_log=14, search_log=5, min_match=3, target_length=32, strategy=zstandard.STRATEGY_LAZY2, write_content_size=0, write_checksum=0, write_dict_id=0)
@@ -376,6 +398,26 @@ def test_ngram_join(spark, odd, docs, size, num):
             assert r["n_shingles"] in want[r["doc_id"]][0] and r["component_id"] == want[r["doc_id"]][1]
 
 
+def jobs_of(spark, group, run):
+    spark.sparkContext.setJobGroup(group, group)
+    rows = run()
+    return rows, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_few_links_take_few_jobs_and_the_same_groups(spark, monkeypatch):
+    """What the driver keeps of jobs, stages and tasks is most of its memory."""
+    texts = near_copies(40) + [(2000 + i, " ".join(f"w{k}" for k in range(i, i + 60))) for i in range(40)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    run = lambda: {tuple(r) for r in ngramjoin.link_documents(df).collect()}
+    few, jobs = jobs_of(spark, "few", run)
+    monkeypatch.setattr(ngramjoin, "FEW_LINKS", 10)
+    many, more = jobs_of(spark, "many", run)
+    spark.sparkContext.setJobGroup("", "")
+    want = plain_groups(texts, 3, 90, 100)
+    assert few == many and {r[0]: r[2] for r in few} == {i: g for i, (_, g) in want.items()}
+    assert jobs < 0.8 * more
+
+
 def test_ngram_join_of_nothing(nothing):
     assert ngramjoin.link_documents(nothing).count() == 0
     assert ngramjoin.one_per_group(nothing).count() == 0

@@ -281,6 +281,9 @@ def test_components_and_chains_against_plain_code(spark):
         parent[b] = a
     df = spark.createDataFrame(links, "u long, v long")
     assert rows(graph.components(df)) == sorted({(x, root(x)) for u, v in links if u != v for x in (u, v)})
+    assert rows(graph.components(df, few=1000)) == rows(graph.components(df, few=100)) == rows(graph.components(df))
+    none = graph.components(df.where("false"), few=1000)
+    assert none.count() == 0 and none.dtypes == graph.components(df).dtypes
     chain = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(200, 201), (201, 202), (202, 201)], "node long, target long")
     ends = {x["node"]: (x["last"], x["circular"]) for x in graph.pointer_ends(chain).collect()}
     assert all(ends[i] == (100, False) for i in range(100)) and ends[200] == ends[201] == ends[202] == (None, True)
